@@ -1,90 +1,94 @@
-"""Column expressions that turn one fixed-width line into typed columns.
+"""Expressions that turn one fixed-width line into typed columns.
 
-Everything here is a built-in expression, so a decode is a single projection inside
-whole-stage codegen.
+``line`` is always the SQL text of the line to decode, usually just a column name. Everything
+here is built in, so a decode is a single projection inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sondelake.functions.layout import Field, Layout
 
 # The characters removed from both ends of a field, U+0000 to U+0020.
-TRIMMED = "".join(chr(code) for code in range(0x21))
+TRIMMED = "".join(rf"\u{code:04x}" for code in range(0x21))
 
 
-def raw_slice(line: Column, field: Field) -> Column:
-    return F.substring(line, field.start, field.length)
+def _slice(line: str, field: Field) -> str:
+    return f"substring({line}, {field.start}, {field.length})"
 
 
-def text_value(line: Column, field: Field) -> Column:
-    """Trimmed slice; a blank field is the empty string, not NULL."""
-    return F.btrim(raw_slice(line, field), F.lit(TRIMMED))
+def _text(line: str, field: Field) -> str:
+    return f"btrim({_slice(line, field)}, '{TRIMMED}')"
 
 
-def int_value(line: Column, field: Field) -> Column:
-    """Slice as integer; blank and malformed fields are both NULL (see `is_malformed`).
+def _int(line: str, field: Field) -> str:
+    # The cast ignores surrounding blanks and control characters itself.
+    return f"try_cast({_slice(line, field)} AS int)"
 
-    The cast itself ignores surrounding blanks and control characters, so numbers need no
-    separate trim.
-    """
-    return raw_slice(line, field).try_cast("int")
 
+def _malformed(line: str, field: Field) -> str:
+    return f"({_int(line, field)} IS NULL AND {_text(line, field)} <> '')"
 
-def value(line: Column, field: Field) -> Column:
-    typed = text_value(line, field) if field.is_text else int_value(line, field)
-    return typed.alias(field.name.lower())
 
+def _numbers(layout: Layout) -> list[Field]:
+    return [f for f in layout.ordered if not f.is_text]
+
+
+def text_value(line: str, field: Field) -> Column:
+    """Trimmed slice; a blank field is the empty string, not NULL."""
+    return F.expr(_text(line, field))
 
-def decode(line: Column, layout: Layout) -> list[Column]:
-    """All columns of ``layout``, typed and named, in column order."""
-    return [value(line, f) for f in layout.ordered]
 
+def int_value(line: str, field: Field) -> Column:
+    """Slice as integer; blank and malformed fields are both NULL (see `is_malformed`)."""
+    return F.expr(_int(line, field))
 
-def is_malformed(line: Column, field: Field) -> Column:
+
+def is_malformed(line: str, field: Field) -> Column:
     """True for a number field that is neither blank nor an integer."""
-    return int_value(line, field).isNull() & (text_value(line, field) != "")
+    return F.expr(_malformed(line, field))
+
+
+def decode(line: str, layout: Layout) -> list[Column]:
+    """All columns of ``layout``, typed and named, in column order."""
+    return [
+        F.expr(f"{(_text if f.is_text else _int)(line, f)} AS {f.name.lower()}")
+        for f in layout.ordered
+    ]
 
 
-def any_malformed(line: Column, layout: Layout) -> Column:
-    tests = [is_malformed(line, f) for f in layout.ordered if not f.is_text]
-    return F.coalesce(reduce(or_, tests), F.lit(False))
+def any_malformed(line: str, layout: Layout) -> Column:
+    tests = " OR ".join(_malformed(line, f) for f in _numbers(layout))
+    return F.expr(f"coalesce({tests}, false)")
 
 
-def malformed_names(line: Column, layout: Layout) -> Column:
+def malformed_names(line: str, layout: Layout) -> Column:
     """Comma-separated names of the malformed number fields, empty if there are none."""
-    return F.concat_ws(
-        ",",
-        *[
-            F.when(is_malformed(line, f), F.lit(f.name.lower()))
-            for f in layout.ordered
-            if not f.is_text
-        ],
+    names = ", ".join(
+        f"CASE WHEN {_malformed(line, f)} THEN '{f.name.lower()}' END" for f in _numbers(layout)
     )
+    return F.expr(f"concat_ws(',', {names})")
 
 
-def block_uid(header: Column, layout: Layout) -> Column:
+def block_uid(header: str, layout: Layout) -> Column:
     """Natural key of a block: its trimmed key slices, concatenated as text."""
-    return F.concat(*[text_value(header, f) for f in layout.key_fields])
+    return F.expr(f"concat({', '.join(_text(header, f) for f in layout.key_fields)})")
 
 
-def level_count(header: Column, layout: Layout) -> Column:
+def level_count(header: str, layout: Layout) -> Column:
     """Number of levels a header announces; NULL when blank or not a number."""
     return int_value(header, layout.count_field)
 
 
-def csv_line(line: Column, layout: Layout, uid: Column) -> Column:
+def csv_line(line: str, layout: Layout, uid: str) -> Column:
     """Delimited text of one record: text fields and the key quoted, numbers as written.
 
     Quotes inside a text field are passed through as they are.
     """
     cells = [
-        F.concat(F.lit('"'), text_value(line, f), F.lit('"')) if f.is_text else text_value(line, f)
+        f"""concat('"', {_text(line, f)}, '"')""" if f.is_text else _text(line, f)
         for f in layout.ordered
     ]
-    return F.concat_ws(",", *cells, F.concat(F.lit('"'), uid, F.lit('"')))
+    return F.expr(f"""concat_ws(',', {', '.join(cells)}, concat('"', {uid}, '"'))""")

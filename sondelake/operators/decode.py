@@ -13,17 +13,14 @@ ORIGIN = ("file", "block_start", "seq")
 
 def header_is_sound(layout: Layout = HEADER_LAYOUT):
     """Exact width and a readable level count; without both a header cannot be used."""
-    header = F.col("header")
-    return F.coalesce(
-        (F.length(header) == layout.width) & level_count(header, layout).isNotNull(), F.lit(False)
-    )
+    readable = level_count("header", layout).isNotNull()
+    return F.coalesce((F.length("header") == layout.width) & readable, F.lit(False))
 
 
 def decode_headers(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     """One row per block: origin, raw header, decoded columns and uid."""
-    header = F.col("header")
     return blocks.select(
-        *ORIGIN, "header", *decode(header, layout), block_uid(header, layout).alias("uid")
+        *ORIGIN, "header", *decode("header", layout), block_uid("header", layout).alias("uid")
     )
 
 
@@ -32,12 +29,11 @@ def level_lines(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
 
     A group with fewer than N lines yields nothing; lines beyond N are ignored.
     """
-    header = F.col("header")
-    count = level_count(header, layout)
-    whole = (F.length(header) == layout.width) & (count > 0) & (F.size("body") >= count)
+    count = level_count("header", layout)
+    whole = (F.length("header") == layout.width) & (count > 0) & (F.size("body") >= count)
     return blocks.where(whole).select(
         *ORIGIN,
-        block_uid(header, layout).alias("uid"),
+        block_uid("header", layout).alias("uid"),
         F.posexplode(F.slice("body", F.lit(1), count)).alias("pos", "line"),
     )
 
@@ -49,4 +45,4 @@ def sized_lines(lines: DataFrame, layout: Layout = LEVEL_LAYOUT) -> DataFrame:
 
 def decode_levels(lines: DataFrame, layout: Layout = LEVEL_LAYOUT, keep: tuple = ()) -> DataFrame:
     """Decoded columns and uid of correctly sized lines, next to the columns in ``keep``."""
-    return sized_lines(lines, layout).select(*keep, *decode(F.col("line"), layout), "uid")
+    return sized_lines(lines, layout).select(*keep, *decode("line", layout), "uid")

@@ -39,7 +39,7 @@ def header_reason(layout: Layout = HEADER_LAYOUT) -> Column:
     """Why a row of `decode_headers` must not be loaded; NULL if it may."""
     return F.when(~header_is_sound(layout), F.lit(BAD_HEADER)).otherwise(
         first_reason(
-            ("malformed", malformed_names(F.col("header"), layout)),
+            ("malformed", malformed_names("header", layout)),
             ("null", null_names(HEADER_NOT_NULL)),
             ("width", wide_names(HEADER_TEXT_WIDTHS)),
         )

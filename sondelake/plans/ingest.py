@@ -32,7 +32,7 @@ from sondelake.operators.scratch import write_scratch
 from sondelake.plans.lake import Lake
 from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, read_records
 
-_LINE = F.col("line")
+_LINE = "line"
 
 
 def _block_quarantine(blocks: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def _block_quarantine(blocks: DataFrame) -> DataFrame:
         F.col("file").alias("source_file"),
         "block_start",
         "seq",
-        block_uid(F.col("header"), HEADER_LAYOUT).alias("uid"),
+        block_uid("header", HEADER_LAYOUT).alias("uid"),
         F.lit("block").alias("scope"),
         "reason",
         F.concat_ws("\n", F.col("header"), F.array_join("body", "\n")).alias("raw"),
@@ -60,6 +60,11 @@ def _line_quarantine(lines: DataFrame, reason) -> DataFrame:
     )
 
 
+def _checked_headers(blocks: DataFrame) -> DataFrame:
+    """Decoded headers with the reason to refuse them, written once for the key steps."""
+    return write_scratch(decode_headers(blocks).withColumn("reason", header_reason()), "headers")
+
+
 def _header_rows(checked: DataFrame, lake: Lake, load_id: str) -> DataFrame:
     base = lake.headers.read_other_loads(load_id).agg(F.max("header_id")).head()[0] or 0
     rows = checked.drop("header", "reason").withColumn("source_file", F.col("file"))
@@ -82,7 +87,7 @@ def _ledger_rows(cut: DataFrame, lake: Lake, load_id: str) -> DataFrame:
 
 
 def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
-    checked = decode_headers(blocks).withColumn("reason", header_reason())
+    checked = _checked_headers(blocks)
     keys = checked.where("reason IS NULL").select("uid", *ORIGIN)
     existing = lake.headers.read_other_loads(load_id)
     copies = duplicates(keys, existing).withColumn("reason", F.lit(DUPLICATE_UID))
@@ -133,7 +138,7 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     )
     lake.levels.write_load(levels, load_id)
 
-    checked = decode_headers(kept).withColumn("reason", header_reason())
+    checked = _checked_headers(kept)
     invalid = checked.where("reason IS NOT NULL").select("file").distinct()
     existing = lake.headers.read_other_loads(load_id)
     refused = files_with_conflicts(checked.select("uid", "file"), existing, invalid)

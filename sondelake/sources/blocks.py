@@ -106,7 +106,8 @@ def cut_lines(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     )
     first_line = F.col("lines")[0]
     n_body = F.size("lines") - 1
-    announced = [level_count(first_line, layout), level_count(F.concat(F.lit(MARK), first_line), layout)]
+    # With or without the mark put back: which one applies is not settled yet.
+    announced = [level_count(h, layout) for h in ("lines[0]", f"concat('{MARK}', lines[0])")]
     return numbered.select(
         "file",
         "block_start",
@@ -115,8 +116,9 @@ def cut_lines(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
         F.slice("lines", 2, F.greatest(n_body, F.lit(0))).alias("body"),
         ((F.col("block_start") == 0) & first_line.startswith(MARK)).alias("has_mark"),
         # Only here does it matter whether the text ends with the file's own line break.
-        (F.col("open_end") & F.coalesce((n_body == announced[0]) | (n_body == announced[1]), F.lit(False)))
-        .alias("end_decides"),
+        F.coalesce(
+            F.col("open_end") & ((n_body == announced[0]) | (n_body == announced[1])), F.lit(False)
+        ).alias("end_decides"),
     )
 
 
