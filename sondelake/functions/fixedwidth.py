@@ -20,6 +20,9 @@ def _slice(line: str, field: Field) -> str:
 
 
 def _text(line: str, field: Field) -> str:
+    if field.length == 1:
+        # Trimming a single character is one comparison.
+        return f"CASE WHEN {_slice(line, field)} <= ' ' THEN '' ELSE {_slice(line, field)} END"
     return f"btrim({_slice(line, field)}, '{TRIMMED}')"
 
 
@@ -28,29 +31,16 @@ def _int(line: str, field: Field) -> str:
     return f"try_cast({_slice(line, field)} AS int)"
 
 
-def _malformed(line: str, field: Field) -> str:
-    return f"({_int(line, field)} IS NULL AND {_text(line, field)} <> '')"
-
-
-def _numbers(layout: Layout) -> list[Field]:
-    return [f for f in layout.ordered if not f.is_text]
-
-
 def text_value(line: str, field: Field) -> Column:
     """Trimmed slice; a blank field is the empty string, not NULL."""
     return F.expr(_text(line, field))
 
 
 def int_value(line: str, field: Field) -> Column:
-    """Slice as integer; blank and malformed fields are both NULL (see `is_malformed`)."""
+    """Slice as integer; blank and malformed fields are both NULL (see `malformed_name`)."""
     return F.expr(_int(line, field))
 
 
-def is_malformed(line: str, field: Field) -> Column:
-    """True for a number field that is neither blank nor an integer."""
-    return F.expr(_malformed(line, field))
-
-
 def decode(line: str, layout: Layout) -> list[Column]:
     """All columns of ``layout``, typed and named, in column order."""
     return [
@@ -59,17 +49,17 @@ def decode(line: str, layout: Layout) -> list[Column]:
     ]
 
 
-def any_malformed(line: str, layout: Layout) -> Column:
-    tests = " OR ".join(_malformed(line, f) for f in _numbers(layout))
-    return F.expr(f"coalesce({tests}, false)")
+def malformed_name(line: str, layout: Layout) -> Column:
+    """Name of the first number column that is NULL although its slice is not blank.
 
-
-def malformed_names(line: str, layout: Layout) -> Column:
-    """Comma-separated names of the malformed number fields, empty if there are none."""
-    names = ", ".join(
-        f"CASE WHEN {_malformed(line, f)} THEN '{f.name.lower()}' END" for f in _numbers(layout)
+    Evaluated next to the decoded columns; NULL if every number was readable.
+    """
+    tests = ", ".join(
+        f"CASE WHEN {name} IS NULL AND ({_text(line, f)}) <> '' THEN '{name}' END"
+        for name, f in ((f.name.lower(), f) for f in layout.ordered)
+        if not f.is_text
     )
-    return F.expr(f"concat_ws(',', {names})")
+    return F.expr(f"coalesce({tests})")
 
 
 def block_uid(header: str, layout: Layout) -> Column:

@@ -44,5 +44,5 @@ def sized_lines(lines: DataFrame, layout: Layout = LEVEL_LAYOUT) -> DataFrame:
 
 
 def decode_levels(lines: DataFrame, layout: Layout = LEVEL_LAYOUT, keep: tuple = ()) -> DataFrame:
-    """Decoded columns and uid of correctly sized lines, next to the columns in ``keep``."""
+    """Decoded columns and uid of correctly sized lines, after the columns in ``keep``."""
     return sized_lines(lines, layout).select(*keep, *decode("line", layout), "uid")

@@ -46,5 +46,6 @@ def join_checked(
     if spread_by is None:
         return big.join(small, on, how)
     spread = big.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    copies = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    copies = small.withColumn(_SALT, F.explode(every_salt))
     return spread.join(copies, [on, _SALT], how).drop(_SALT)

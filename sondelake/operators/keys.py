@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondelake.operators.joins import join_checked
+from sondelake.operators.joins import is_empty_or_small, join_checked
 from sondelake.operators.scratch import write_scratch
 
 # monotonically_increasing_id() keeps the partition above this many bits of row number.
 _ROW_BITS = 33
 
 
+def uids_taken(uids: DataFrame, existing: DataFrame) -> DataFrame:
+    """(uid) of those in ``uids`` (a written table, each uid once) that ``existing`` holds.
+
+    A load is usually small next to the tables it joins: its uids are then broadcast, and the
+    existing ones are only read.
+    """
+    _, fits = is_empty_or_small(uids)
+    wanted = F.broadcast(uids.select("uid")) if fits else uids.select("uid")
+    return existing.select("uid").join(wanted, "uid", "left_semi")
+
+
 def first_per_uid(keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """(seq) of the row that keeps each uid: the first by (file, block_start, seq).
 
@@ -20,8 +31,9 @@ def first_per_uid(keys: DataFrame, existing: DataFrame | None = None) -> DataFra
     """
     firsts = keys.groupBy("uid").agg(F.min(F.struct("file", "block_start", "seq")).alias("first"))
     if existing is not None:
+        firsts = write_scratch(firsts, "firsts")
         # Both sides hold a uid once, so no key of this join is hot.
-        firsts = firsts.join(existing.select("uid"), "uid", "left_anti")
+        firsts = firsts.join(uids_taken(firsts, existing), "uid", "left_anti")
     return firsts.select(F.col("first.seq").alias("seq"))
 
 
@@ -50,8 +62,8 @@ def files_with_conflicts(
     claims = write_scratch(per_file, "claims")
     refused = claims.where("n > 1").select("file")
     if existing is not None:
-        taken = claims.select("uid").distinct().join(existing.select("uid"), "uid", "left_semi")
-        taken = write_scratch(taken, "taken")
+        uids = write_scratch(claims.select("uid").distinct(), "uids")
+        taken = write_scratch(uids_taken(uids, existing), "taken")
         refused = refused.union(
             join_checked(claims, taken, "uid", "left_semi", spread_by="file").select("file")
         )

@@ -7,45 +7,58 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sondelake.functions.fixedwidth import malformed_names
-from sondelake.functions.layout import HEADER_LAYOUT, Layout
+from sondelake.functions.fixedwidth import malformed_name
+from sondelake.functions.layout import HEADER_LAYOUT, LEVEL_LAYOUT, Layout
 from sondelake.operators.decode import header_is_sound
 from sondelake.operators.joins import join_checked
 from sondelake.operators.scratch import write_scratch
-from sondelake.schemas import HEADER_NOT_NULL, HEADER_TEXT_WIDTHS
+from sondelake.schemas import (
+    HEADER_NOT_NULL,
+    HEADER_TEXT_WIDTHS,
+    LEVEL_NOT_NULL,
+    LEVEL_TEXT_WIDTHS,
+)
 
 BAD_HEADER = "bad_header"
 DUPLICATE_UID = "duplicate_uid"
+FILE_REFUSED = "file_refused"
 
 
-def null_names(columns: Iterable[str]) -> Column:
-    """Comma-separated names of the columns that are NULL."""
-    return F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+def null_name(columns: Iterable[str]) -> Column:
+    """Name of the first of the columns that is NULL; NULL if none is."""
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
 
 
-def wide_names(widths: Mapping[str, int]) -> Column:
-    """Comma-separated names of the text columns longer than their declared width."""
-    return F.concat_ws(",", *[F.when(F.length(c) > n, F.lit(c)) for c, n in widths.items()])
+def wide_name(widths: Mapping[str, int]) -> Column:
+    """Name of the first text column longer than its declared width; NULL if none is."""
+    return F.coalesce(*[F.when(F.length(c) > n, F.lit(c)) for c, n in widths.items()])
 
 
 def first_reason(*checks: tuple[str, Column]) -> Column:
-    """``label:names`` of the first check that names any column; NULL if none does."""
-    return F.coalesce(
-        *[F.when(names != "", F.concat(F.lit(label + ":"), names)) for label, names in checks]
-    )
+    """``label:column`` of the first failed check; NULL if all pass."""
+    return F.coalesce(*[F.concat(F.lit(f"{label}:"), name) for label, name in checks])
 
 
 def header_reason(layout: Layout = HEADER_LAYOUT) -> Column:
     """Why a row of `decode_headers` must not be loaded; NULL if it may."""
     return F.when(~header_is_sound(layout), F.lit(BAD_HEADER)).otherwise(
         first_reason(
-            ("malformed", malformed_names("header", layout)),
-            ("null", null_names(HEADER_NOT_NULL)),
-            ("width", wide_names(HEADER_TEXT_WIDTHS)),
+            ("malformed", malformed_name("header", layout)),
+            ("null", null_name(HEADER_NOT_NULL)),
+            ("width", wide_name(HEADER_TEXT_WIDTHS)),
         )
     )
 
 
+def level_reason(layout: Layout = LEVEL_LAYOUT) -> Column:
+    """Why a decoded level must not be loaded, next to its ``line``; NULL if it may."""
+    return first_reason(
+        ("malformed", malformed_name("line", layout)),
+        ("null", null_name(LEVEL_NOT_NULL)),
+        ("width", wide_name(LEVEL_TEXT_WIDTHS)),
+    )
+
+
 def bad_header_cutoffs(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     """(file, cutoff): position of the first unusable header of each file that has one."""
     return (

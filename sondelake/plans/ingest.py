@@ -16,24 +16,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sondelake.functions.fixedwidth import any_malformed, block_uid, decode, malformed_names
-from sondelake.functions.layout import HEADER_LAYOUT, LEVEL_LAYOUT
-from sondelake.operators.decode import ORIGIN, decode_headers, level_lines, sized_lines
+from sondelake.functions.fixedwidth import block_uid
+from sondelake.functions.layout import HEADER_LAYOUT
+from sondelake.operators.decode import ORIGIN, decode_headers, decode_levels, level_lines
 from sondelake.operators.joins import join_checked
 from sondelake.operators.keys import duplicates, files_with_conflicts, serial_ids
 from sondelake.operators.quality import (
     BAD_HEADER,
     DUPLICATE_UID,
+    FILE_REFUSED,
     bad_header_cutoffs,
-    first_reason,
     header_reason,
+    level_reason,
 )
-from sondelake.operators.scratch import write_scratch
+from sondelake.operators.scratch import scratch_area, write_scratch
 from sondelake.plans.lake import Lake
 from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, read_records
 
-_LINE = "line"
-
 
 def _block_quarantine(blocks: DataFrame) -> DataFrame:
     """Whole refused blocks; ``blocks`` carries the reason."""
@@ -48,18 +47,24 @@ def _block_quarantine(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _line_quarantine(lines: DataFrame, reason) -> DataFrame:
-    return lines.select(
-        F.col("file").alias("source_file"),
+def _line_quarantine(judged: DataFrame) -> DataFrame:
+    return judged.select(
+        "source_file",
         "block_start",
         "seq",
         "uid",
         F.lit("level").alias("scope"),
-        reason.alias("reason"),
+        "reason",
         F.col("line").alias("raw"),
     )
 
 
+def _judged_levels(blocks: DataFrame) -> DataFrame:
+    """Decoded levels of whole groups with their line, origin and the reason to refuse them."""
+    levels = decode_levels(level_lines(blocks), keep=(*ORIGIN, "line"))
+    return levels.withColumn("reason", level_reason()).withColumnRenamed("file", "source_file")
+
+
 def _checked_headers(blocks: DataFrame) -> DataFrame:
     """Decoded headers with the reason to refuse them, written once for the key steps."""
     return write_scratch(decode_headers(blocks).withColumn("reason", header_reason()), "headers")
@@ -96,26 +101,16 @@ def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     )
     refused_seq = refused.select("seq")
 
-    lines = sized_lines(level_lines(join_checked(blocks, refused_seq, "seq", "left_anti")))
+    judged = _judged_levels(join_checked(blocks, refused_seq, "seq", "left_anti"))
     seen = Observation()
-    levels = (
-        lines.select(
-            *decode(_LINE, LEVEL_LAYOUT),
-            "uid",
-            F.col("file").alias("source_file"),
-            any_malformed(_LINE, LEVEL_LAYOUT).alias("malformed"),
-        )
-        .observe(seen, F.count_if("malformed").alias("malformed"))
-        .where("NOT malformed")
-    )
+    levels = judged.observe(seen, F.count("reason").alias("bad")).where("reason IS NULL")
     lake.levels.write_load(levels, load_id)
 
     refusals = join_checked(blocks, refused, "seq", "inner")
     rejected = _block_quarantine(refusals)
-    if seen.get["malformed"]:
-        reason = first_reason(("malformed", malformed_names(_LINE, LEVEL_LAYOUT)))
-        bad = lines.where(any_malformed(_LINE, LEVEL_LAYOUT))
-        rejected = rejected.union(_line_quarantine(bad, reason))
+    if seen.get["bad"]:
+        # Only now is a second pass over the lines worth it.
+        rejected = rejected.union(_line_quarantine(judged.where("reason IS NOT NULL")))
     lake.quarantine.write_load(rejected, load_id)
 
     # Headers last: a reader finds levels only through them.
@@ -129,13 +124,11 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     lost = F.coalesce(F.struct("block_start", "seq") >= F.col("cutoff"), F.lit(False))
     kept = marked.where(~lost).drop("cutoff")
 
-    lines = sized_lines(level_lines(kept))
-    bad_level_files = lines.where(any_malformed(_LINE, LEVEL_LAYOUT)).select("file").distinct()
-    bad_level_files = write_scratch(bad_level_files, "bad-level-files")
-    good_lines = join_checked(lines, bad_level_files, "file", "left_anti", spread_by="seq")
-    levels = good_lines.select(
-        *decode(_LINE, LEVEL_LAYOUT), "uid", F.col("file").alias("source_file")
-    )
+    judged = _judged_levels(kept)
+    bad_level_files = judged.where("reason IS NOT NULL").select(F.col("source_file").alias("file"))
+    bad_level_files = write_scratch(bad_level_files.distinct(), "bad-level-files")
+    files = judged.withColumn("file", F.col("source_file"))
+    levels = join_checked(files, bad_level_files, "file", "left_anti", spread_by="seq")
     lake.levels.write_load(levels, load_id)
 
     checked = _checked_headers(kept)
@@ -153,16 +146,16 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
         "seq",
         "uid",
         F.lit("header_file").alias("scope"),
-        F.coalesce("reason", F.lit("file_refused")).alias("reason"),
+        F.coalesce("reason", F.lit(FILE_REFUSED)).alias("reason"),
         F.col("header").alias("raw"),
     )
-    level_files = _line_quarantine(
-        join_checked(lines, bad_level_files, "file", "left_semi", spread_by="seq"),
-        F.coalesce(
-            first_reason(("malformed", malformed_names(_LINE, LEVEL_LAYOUT))),
-            F.lit("file_refused"),
-        ),
-    ).withColumn("scope", F.lit("level_file"))
+    refused_lines = join_checked(files, bad_level_files, "file", "left_semi", spread_by="seq")
+    level_files = _line_quarantine(refused_lines).withColumns(
+        {
+            "scope": F.lit("level_file"),
+            "reason": F.coalesce("reason", F.lit(FILE_REFUSED)),
+        }
+    )
     lake.quarantine.write_load(cut_away.union(header_files).union(level_files), load_id)
 
     good = join_checked(checked, refused, "file", "left_anti", spread_by="seq")
@@ -174,13 +167,14 @@ def ingest_records(lake: Lake, records: DataFrame, load_id: str) -> DataFrame:
 
     A load replaces whatever an earlier attempt with the same ``load_id`` wrote.
     """
-    cut = write_scratch(cut_lines(records), "blocks")
-    blocks = assemble_blocks(cut)
-    if lake.whole_files:
-        _ingest_by_file(lake, blocks, load_id)
-    else:
-        _ingest_by_block(lake, blocks, load_id)
-    lake.ledger.write_load(_ledger_rows(cut, lake, load_id), load_id)
+    with scratch_area(lake.spark):
+        cut = write_scratch(cut_lines(records), "blocks")
+        blocks = assemble_blocks(cut)
+        if lake.whole_files:
+            _ingest_by_file(lake, blocks, load_id)
+        else:
+            _ingest_by_block(lake, blocks, load_id)
+        lake.ledger.write_load(_ledger_rows(cut, lake, load_id), load_id)
     return lake.ledger.read_load(load_id)
 
 

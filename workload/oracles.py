@@ -168,14 +168,12 @@ ORACLES = {
         SELECT seq, year, lat, CASE WHEN lat IS NULL AND lat_text <> '' THEN 'malformed:lat'
           WHEN year IS NULL THEN 'null:year' END AS reason FROM d""",
     "level_rejects": f"""WITH {RENDERED}
-        SELECT l_orderkey, 'gph' AS columns, concat(substr(line,1,16),' 1 2 ',substr(line,22)) AS line
+        SELECT l_orderkey, 'malformed:gph' AS reason, concat(substr(line,1,16),' 1 2 ',substr(line,22)) AS line
         FROM raw_l WHERE l_orderkey%19 = 3""",
-    "control_checks": f"""WITH {CONTROL},
-        n AS (SELECT id, concat_ws(',', CASE WHEN skip_execution IS NULL THEN 'skip_execution' END,
-          CASE WHEN full_load IS NULL THEN 'full_load' END) AS nulls,
-          CASE WHEN length(skip_execution) > 1 THEN 'skip_execution' ELSE '' END AS wide FROM control)
-        SELECT id, CASE WHEN nulls <> '' THEN concat('null:', nulls)
-          WHEN wide <> '' THEN concat('width:', wide) END AS reason FROM n""",
+    "control_checks": f"""WITH {CONTROL}
+        SELECT id, CASE WHEN skip_execution IS NULL THEN 'null:skip_execution'
+          WHEN full_load IS NULL THEN 'null:full_load'
+          WHEN length(skip_execution) > 1 THEN 'width:skip_execution' END AS reason FROM control""",
     "uid_first_wins": """WITH k AS (
           SELECT o_orderkey, o_custkey, row_number() OVER (
             PARTITION BY o_custkey ORDER BY o_orderkey % 16, o_orderkey) AS r FROM orders)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondelake.functions.bands import PARTITION_COLUMN, open_band, partition_band
-from sondelake.functions.fixedwidth import any_malformed, csv_line, malformed_names
+from sondelake.functions.fixedwidth import csv_line
 from sondelake.functions.layout import HEADER_FIELDS, HEADER_LAYOUT, LEVEL_LAYOUT, load_layout
 from sondelake.functions.text import (
     datetime_text,
@@ -27,8 +27,9 @@ from sondelake.operators.quality import (
     cut_at_bad_header,
     first_reason,
     header_reason,
-    null_names,
-    wide_names,
+    level_reason,
+    null_name,
+    wide_name,
 )
 from sondelake.operators.scratch import scratch_path, write_scratch
 from sondelake.plans.ingest import ingest
@@ -152,6 +153,8 @@ def bad_header_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = decode_headers(inputs.header_blocks(spark, sf_dir, _SOME_CUT)).withColumn(
         "reason", header_reason()
     )
+    # Written first, as in a load: a filter on the reason would repeat the whole decode.
+    checked = write_scratch(checked, "checked")
     return checked.where("reason IS NOT NULL").select("file", "seq", "reason", "header")
 
 
@@ -175,9 +178,10 @@ def level_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             "else line end"
         ).alias("line"),
     )
-    return lines.where(any_malformed("line", LEVEL_LAYOUT)).select(
-        "l_orderkey", malformed_names("line", LEVEL_LAYOUT).alias("columns"), "line"
-    )
+    judged = decode_levels(
+        lines.withColumn("uid", F.col("l_orderkey").cast("string")), keep=("l_orderkey", "line")
+    ).withColumn("reason", level_reason())
+    return judged.where("reason IS NOT NULL").select("l_orderkey", "reason", "line")
 
 
 def _control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +208,7 @@ def control_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "id",
         first_reason(
-            ("null", null_names(CONTROL_NOT_NULL)), ("width", wide_names(CONTROL_TEXT_WIDTHS))
+            ("null", null_name(CONTROL_NOT_NULL)), ("width", wide_name(CONTROL_TEXT_WIDTHS))
         ).alias("reason"),
     )
 
