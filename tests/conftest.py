@@ -10,7 +10,10 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("sondelake-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "3")
+        # Many small jobs: quick compilation matters more than fast code.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -6,19 +6,38 @@ import pytest
 from pyspark.sql import functions as F
 
 from sondelake.operators.control import ControlTable, advanced
-from sondelake.plans.ingest import ingest
 from sondelake.plans.lake import Lake
 from sondelake.plans.publish import NAMED_QUERIES, named_query, publish, published_rows
-from sondelake.schemas import CONTROL_SCHEMA, PUBLISHED_COLUMNS, seed_control
+from sondelake.schemas import (
+    CONTROL_SCHEMA,
+    HEADER_SCHEMA,
+    LEVEL_SCHEMA,
+    PUBLISHED_COLUMNS,
+    seed_control,
+)
 from sondelake.sources.published import read_published, write_banded
-from tests.soundings import header, level, put
 
 JOB = "soundings"
 
 
 def sounding(reltime, *heights):
-    lines = [header(len(heights), reltime=reltime)] + [level(str(h)) for h in heights]
-    return "\n".join(lines) + "\n"
+    return (f"USM{reltime}", heights)
+
+
+def load(lake, load_id, *soundings):
+    """Put soundings into the tables of a lake as a load would, without text files."""
+    first = (lake.headers.read().agg(F.max("header_id")).head()[0] or 0) + 1
+    headers = [
+        (first + i, "USM00070261", 1930, 8, 26, 99, 0, len(gphs), "", "cdmp-usm", 1, 2, key, load_id)
+        for i, (key, gphs) in enumerate(soundings)
+    ]
+    levels = [
+        (3, 0, 1, 2, "", gph, "", 3, "", 4, 5, 6, 7, key, load_id)
+        for key, gphs in soundings
+        for gph in gphs
+    ]
+    lake.levels.write_load(lake.spark.createDataFrame(levels, LEVEL_SCHEMA).coalesce(1), load_id)
+    lake.headers.write_load(lake.spark.createDataFrame(headers, HEADER_SCHEMA).coalesce(1), load_id)
 
 
 def heights(lake):
@@ -34,22 +53,16 @@ def state(lake):
 @pytest.fixture
 def lake(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
-    put(tmp_path / "in", "a.txt", sounding("0100", 250, 5000) + sounding("0200", -9999, 9001))
-    ingest(lake, str(tmp_path / "in"), "l1")
+    load(lake, "l1", sounding("0100", 250, 5000), sounding("0200", -9999, 9001))
     lake.control.replace(seed_control(spark, JOB))
     return lake
 
 
-def add(lake, tmp_path, name, text, load_id):
-    put(tmp_path / "in", name, text)
-    ingest(lake, str(tmp_path / "in"), load_id)
-
-
-def test_full_then_delta(lake, tmp_path):
+def test_full_then_delta(lake):
     assert publish(lake, JOB).mode == "full"
     assert heights(lake) == [(0, 9001), (1, -9999), (1, 250), (5, 5000)]
     assert state(lake) == ("N", "2")
-    add(lake, tmp_path, "b.txt", sounding("0300", 1500), "l2")
+    load(lake, "l2", sounding("0300", 1500))
     run = publish(lake, JOB)
     assert (run.mode, run.after_id, run.up_to_id) == ("delta", 2, 3)
     assert heights(lake) == [(0, 9001), (1, -9999), (1, 250), (2, 1500), (5, 5000)]
@@ -62,27 +75,27 @@ def test_full_then_delta(lake, tmp_path):
     ]
 
 
-def test_inclusive_delta_repeats_the_last_header(lake, tmp_path):
+def test_inclusive_delta_repeats_the_last_header(lake):
     publish(lake, JOB)
-    add(lake, tmp_path, "b.txt", sounding("0300", 1500), "l2")
+    load(lake, "l2", sounding("0300", 1500))
     publish(lake, JOB, inclusive=True)
     assert heights(lake) == sorted(
         [(0, 9001), (1, -9999), (1, 250), (2, 1500), (5, 5000), (1, -9999), (0, 9001)]
     )
 
 
-def test_delta_ids(lake, tmp_path):
-    add(lake, tmp_path, "b.txt", sounding("0300", 1500) + sounding("0400", 2500), "l2")
+def test_delta_ids(lake):
+    load(lake, "l2", sounding("0300", 1500), sounding("0400", 2500))
     assert {r.gph for r in published_rows(lake, 4, 3).collect()} == {2500}
     assert {r.gph for r in published_rows(lake, 4, 3, inclusive=True).collect()} == {1500, 2500}
     assert {r.gph for r in published_rows(lake, 3, 2).collect()} == {1500}
 
 
-def test_failed_write_keeps_the_mark_and_retry_is_complete(lake, tmp_path, monkeypatch):
+def test_failed_write_keeps_the_mark_and_retry_is_complete(lake, monkeypatch):
     import sondelake.plans.publish as plan
 
     publish(lake, JOB)
-    add(lake, tmp_path, "b.txt", sounding("0300", 1500), "l2")
+    load(lake, "l2", sounding("0300", 1500))
 
     def fail(*_):
         raise RuntimeError("disk is gone")
@@ -98,14 +111,14 @@ def test_failed_write_keeps_the_mark_and_retry_is_complete(lake, tmp_path, monke
         patch.setattr(ControlTable, "advance", fail)
         with pytest.raises(RuntimeError):
             publish(lake, JOB)
-    add(lake, tmp_path, "c.txt", sounding("0400", 2500), "l3")
+    load(lake, "l3", sounding("0400", 2500))
     publish(lake, JOB)
     assert heights(lake) == [(0, 9001), (1, -9999), (1, 250), (2, 1500), (3, 2500), (5, 5000)]
 
 
-def test_full_again_replaces_all_runs(lake, tmp_path):
+def test_full_again_replaces_all_runs(lake):
     publish(lake, JOB)
-    add(lake, tmp_path, "b.txt", sounding("0300", 1500), "l2")
+    load(lake, "l2", sounding("0300", 1500))
     publish(lake, JOB)
     lake.control.replace(lake.control.rows().withColumn("full_load", F.lit("y")))
     publish(lake, JOB)
@@ -180,8 +193,8 @@ def test_existing_target_is_an_error_by_default(spark, tmp_path):
 
 def test_whole_file_lake_joins_on_uid_alone(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"), whole_files=True)
-    put(tmp_path / "in", "a.txt", sounding("0100", 250))
-    ingest(lake, str(tmp_path / "in"), "l1")
-    # The second file's header is refused, its levels load and join the first header.
-    add(lake, tmp_path, "b.txt", sounding("0100", 700), "l2")
+    load(lake, "l1", sounding("0100", 250))
+    # A second file whose header was refused: its levels belong to the first header.
+    levels = [(3, 0, 1, 2, "", 700, "", 3, "", 4, 5, 6, 7, "USM0100", "l2")]
+    lake.levels.write_load(spark.createDataFrame(levels, LEVEL_SCHEMA), "l2")
     assert {r.gph for r in published_rows(lake, 1).collect()} == {250, 700}
