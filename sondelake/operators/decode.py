@@ -31,11 +31,13 @@ def level_lines(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     """
     count = level_count("header", layout)
     whole = (F.length("header") == layout.width) & (count > 0) & (F.size("body") >= count)
-    return blocks.where(whole).select(
+    # The uid is a column of its own before the lines multiply: once per block, not per line.
+    keyed = blocks.where(whole).select(
         *ORIGIN,
         block_uid("header", layout).alias("uid"),
-        F.posexplode(F.slice("body", F.lit(1), count)).alias("pos", "line"),
+        F.slice("body", F.lit(1), count).alias("lines"),
     )
+    return keyed.select(*ORIGIN, "uid", F.posexplode("lines").alias("pos", "line"))
 
 
 def sized_lines(lines: DataFrame, layout: Layout = LEVEL_LAYOUT) -> DataFrame:

@@ -16,7 +16,7 @@ One block must fit one task's memory (a file without any header is one record).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -159,6 +159,14 @@ def _edge_fixes(cut: DataFrame) -> DataFrame:
     )
 
 
+def _as_blocks(cut: DataFrame, is_complete: Column, body: Column) -> DataFrame:
+    """Put the mark back where the separator took it."""
+    header = F.when(is_complete, F.col("first_line")).otherwise(
+        F.concat(F.lit(MARK), "first_line")
+    )
+    return cut.select("file", "block_start", "seq", header.alias("header"), body.alias("body"))
+
+
 def assemble_blocks(cut: DataFrame) -> DataFrame:
     """Blocks (file, block_start, seq, header, body) from the written output of `cut_lines`.
 
@@ -166,22 +174,18 @@ def assemble_blocks(cut: DataFrame) -> DataFrame:
     it; it is never among the announced levels.
     """
     fixes = write_scratch(_edge_fixes(cut), "edges")
+    if fixes.isEmpty():
+        return _as_blocks(cut, F.col("has_mark"), F.col("body"))
     fixed = join_checked(cut, fixes, "seq", "left")
 
     def has(fix: str):
         return F.coalesce(F.array_contains("fixes", fix), F.lit(False))
 
-    kept_mark = F.col("has_mark") & ~has(_EXTRA_MARK)
-    return fixed.where(~has(_PREAMBLE)).select(
-        "file",
-        "block_start",
-        "seq",
-        F.when(kept_mark, F.col("first_line"))
-        .otherwise(F.concat(F.lit(MARK), "first_line"))
-        .alias("header"),
-        F.when(has(_FINAL_BREAK), F.slice("body", 1, F.size("body") - 1))
-        .otherwise(F.col("body"))
-        .alias("body"),
+    shortened = F.slice("body", 1, F.size("body") - 1)
+    return _as_blocks(
+        fixed.where(~has(_PREAMBLE)),
+        F.col("has_mark") & ~has(_EXTRA_MARK),
+        F.when(has(_FINAL_BREAK), shortened).otherwise(F.col("body")),
     )
 
 

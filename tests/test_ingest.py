@@ -142,9 +142,8 @@ def test_load_can_be_repeated(spark, tmp_path):
     assert lake.quarantine.read().count() == 1
 
 
-@pytest.mark.parametrize("whole_files", [False, True])
-def test_pickup_reads_each_file_once(spark, tmp_path, whole_files):
-    lake = Lake(spark, str(tmp_path / "lake"), whole_files=whole_files)
+def test_pickup_reads_each_file_once(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
     inbox = put(tmp_path / "in", "a.txt", good("0100") + header(3, reltime="0110") + "\n" + level() + "\n")
     put(tmp_path / "in" / "processed", "z.txt", good("0900"))
     checkpoint = str(tmp_path / "checkpoint")

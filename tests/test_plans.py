@@ -40,6 +40,8 @@ def test_level_lines_read_only_their_columns(spark, tmp_path):
     assert "ReadSchema: struct<file:string>" in plan(counted)
     blocks = cut.select("file", "block_start", "seq", F.col("first_line").alias("header"), "body")
     text = plan(level_lines(blocks))
+    # The key is built before the lines multiply.
+    assert "trim(" not in text.split("Generate")[0]
     assert "end_decides" not in text.split("ReadSchema")[1]
 
 
@@ -76,6 +78,39 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.sql("DROP TABLE levels_b")
 
 
+def test_hot_uid_is_split_in_a_full_load(spark):
+    levels = inputs.level_table(spark, "/root/testdata/sf0.01").withColumn(
+        "uid", F.expr("if(press % 3 = 0, '77', uid)")
+    )
+    levels = write_scratch(levels.repartition(12), "hot")
+    headers = inputs.header_table(spark, "/root/testdata/sf0.01")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "12",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, setting in settings.items():
+            spark.conf.set(name, setting)
+        rows = extract(headers, levels, 10**6)
+        summed = rows.groupBy().agg(
+            F.count("*").alias("n"), F.max(F.xxhash64(*rows.columns)).alias("all_columns")
+        )
+        matching = levels.join(headers.select("uid"), "uid", "left_semi").count()
+        assert summed.collect()[0].n == matching
+        assert "skew=true" in plan(summed)
+    finally:
+        for name, setting in before.items():
+            if setting is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, setting)
+
+
 def test_checked_join_gives_one_result_whatever_its_strategy(spark, monkeypatch):
     big = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 0, id % 50) AS k")
     small = write_scratch(spark.range(0, 50, 7).selectExpr("id AS k", "id * 2 AS v"), "small")
