@@ -178,6 +178,8 @@ def level_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             "else line end"
         ).alias("line"),
     )
+    # Written first, as a load stages its text: the decode must not repeat the rendering.
+    lines = write_scratch(lines, "lines")
     judged = decode_levels(
         lines.withColumn("uid", F.col("l_orderkey").cast("string")), keep=("l_orderkey", "line")
     ).withColumn("reason", level_reason())
