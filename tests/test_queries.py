@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, difference
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,13 +20,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    sql = entry.oracle_sql()[name]
-    assert difference(spark, duck, entry.queries()[name], sql, SF_DIR) is None
+    sql = ORACLES[name]
+    assert difference(spark, duck, QUERIES[name], sql, SF_DIR) is None
 
 
 def test_flagship_has_all_bands(spark):
