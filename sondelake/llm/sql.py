@@ -33,6 +33,28 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP6 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS shingle, len(w) >= 4 AS whole
+  FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.whole = y.whole AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * shared >= 85 * (na.n + nb.n - shared)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON d.doc_id = r.a
+"""
+
 #: Water filling and sampling without key ranges: one order per source.
 OP8 = rf"""
 WITH d AS (
@@ -62,4 +84,4 @@ SELECT doc_id, source, size, source_size, target, weight,
 FROM k
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op8_mixing": OP8}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op6_ngram_join": OP6, "op8_mixing": OP8}
