@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sondelake.llm import decontam, langid, mixing, ngram_join, pii, repetition, secret_scan, token_counts, url_filter
+from sondelake.llm import decontam, langid, mixing, ngram_join, pii, repetition, secret_scan, substring, token_counts, url_filter
 
 #: Tokenizer whose tokens are counted; `public_tokenizers` knows its place.
 VOCABULARY = "word_bpe_49k.json"
@@ -45,6 +45,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_secrets,
         op3_language,
         op4_decontamination,
+        op5_substring_dedup,
         op6_ngram_join,
         op7_repetition,
         op8_mixing,

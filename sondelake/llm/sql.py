@@ -33,6 +33,26 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), x AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i : i + 49], ' ')) AS h
+  FROM d, unnest(range(1, CAST(len(w) AS BIGINT) - 48)) AS t(i)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS low FROM x) WHERE low < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM later
+), lists AS (
+  SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(CASE WHEN ps IS NULL THEN array_to_string(w, ' ')
+    ELSE (SELECT coalesce(string_agg(w[p], ' ' ORDER BY p), '') FROM unnest(range(1, CAST(len(w) AS BIGINT) + 1)) AS t(p)
+          WHERE NOT list_contains(ps, p)) END) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id)
+"""
+
 OP6 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -84,4 +104,4 @@ SELECT doc_id, source, size, source_size, target, weight,
 FROM k
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op6_ngram_join": OP6, "op8_mixing": OP8}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op5_substring_dedup": OP5, "op6_ngram_join": OP6, "op8_mixing": OP8}
