@@ -28,8 +28,9 @@ from sondelake.operators.scratch import write_scratch
 #: candidates but no result.
 _SKETCH_BITS = 18
 _SKETCH_PARTS = 64
-_BINS = 8
-_MOST_PER_BIN = 32767
+#: Counts per hash bin, a byte each. Unrelated sets of n shingles differ by about 1.1 * sqrt(n * bins),
+#: so this many bins tell them apart up to some 10 000 shingles; larger sets just pass.
+_BINS = 256
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -63,14 +64,12 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64)
 
 
-def _bins(shingles: np.ndarray) -> list[int]:
-    """Counts per bin, four in a long."""
+def _bins(shingles: np.ndarray) -> bytes:
     counts = np.bincount((shingles & np.uint64(_BINS - 1)).astype(np.int64), minlength=_BINS)
-    counts = np.minimum(counts, _MOST_PER_BIN).tolist()
-    return [sum(c << 16 * k for k, c in enumerate(counts[half : half + 4])) for half in (0, 4)]
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-_SIGNED = "doc_id long, n long, h1 long, h2 long, bins0 long, bins1 long, part int, counts binary"
+_SIGNED = "doc_id long, n long, h1 long, h2 long, bins binary, part int, counts binary"
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -83,13 +82,14 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
             sets = shingle_sets(batch.column("text"), width)
             together = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             sketch += np.bincount(_slots(together), minlength=len(sketch)).astype(np.int32)
-            found = [(len(s), *_signature(s), *_bins(s)) for s in sets]
+            found = [(len(s), *_signature(s)) for s in sets]
             columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+            columns.append(pa.array([_bins(s) for s in sets], pa.binary()))
             none = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, *none], names=names)
         if sketch.any():
             parts = sketch.reshape(_SKETCH_PARTS, -1)
-            none = [pa.nulls(_SKETCH_PARTS, pa.int64())] * 6
+            none = [pa.nulls(_SKETCH_PARTS, pa.int64())] * 4 + [pa.nulls(_SKETCH_PARTS, pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*none, pa.array(range(_SKETCH_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                 names=names,
@@ -148,21 +148,28 @@ def _can_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column, percen
     return length & (F.least(n_a - place_a, n_b - place_b) >= least)
 
 
-def _difference(a: str, b: str) -> Column:
-    """A lower bound of the symmetric difference of two sets, from their bin counts."""
-    total = F.lit(0)
-    for half in ("bins0", "bins1"):
-        for k in range(4):
-            of = [F.shiftrightunsigned(F.col(f"{side}.{half}"), 16 * k).bitwiseAND(F.lit(0xFFFF)) for side in (a, b)]
-            total = total + F.abs(of[0] - of[1])
-    return total
+def _suffix_filter(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Leave out pairs whose bin counts alone differ too much.
 
+    The counts differ by no more than the sets do, and linked sets a, b differ in at most
+    (100 - percent) / (100 + percent) of |a| + |b| shingles.
+    """
+    known = sizes.select("doc_id", "n", "bins")
+    left = known.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("bins").alias("bins_a"))
+    right = known.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("bins").alias("bins_b"))
+
+    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = [
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, _BINS).astype(np.int16)
+                for c in ("bins_a", "bins_b")
+            ]
+            apart = np.abs(bins[0] - bins[1]).sum(axis=1, dtype=np.int64)
+            sizes = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b")]
+            good = (100 + percent) * apart <= (100 - percent) * (sizes[0] + sizes[1])
+            yield batch.select(["a", "b"]).filter(pa.array(good))
 
-def _suffix_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    known = reps.select("id", "n", "bins0", "bins1")
-    joined = pairs.join(known.alias("x"), F.col("a") == F.col("x.id")).join(known.alias("y"), F.col("b") == F.col("y.id"))
-    most = (100 - percent) * (F.col("x.n") + F.col("y.n"))
-    return joined.where((100 + percent) * _difference("x", "y") <= most).select("a", "b").distinct()
+    return pairs.join(left, "a").join(right, "b").mapInArrow(near, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -194,7 +201,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return pairs.join(left, "b").join(right, "a").mapInArrow(links, "a long, b long")
 
 
-def _links(docs: DataFrame, reps: DataFrame, prefixes: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, sizes: DataFrame, prefixes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between distinct sets: enough of them to connect all that are connected."""
     meet = prefixes.groupBy("shingle").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     groups = write_scratch(prefixes.join(meet.select("shingle", "hub"), "shingle"), "groups")
@@ -203,7 +210,7 @@ def _links(docs: DataFrame, reps: DataFrame, prefixes: DataFrame, width: int, pe
     near = groups.where("id > hub").join(hubs, "shingle")
     near = near.where(_can_link(F.col("hub_n"), F.col("hub_place"), F.col("n"), F.col("place"), percent))
     to_hub = write_scratch(
-        _suffix_filter(near.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), reps, percent), "pairs"
+        _suffix_filter(near.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), sizes, percent), "pairs"
     )
     links = write_scratch(_verified(to_hub, docs, width, percent), "hub-links")
 
@@ -223,7 +230,7 @@ def _links(docs: DataFrame, reps: DataFrame, prefixes: DataFrame, width: int, pe
     fits = _can_link(F.col("p.n"), F.col("p.place"), F.col("q.n"), F.col("q.place"), percent)
     crossing = outside.join(everyone, (F.col("p.shingle") == F.col("q.shingle")) & apart & fits)
     pairs = crossing.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct()
-    pairs = write_scratch(_suffix_filter(pairs, reps, percent), "pairs")
+    pairs = write_scratch(_suffix_filter(pairs, sizes, percent), "pairs")
     return links.union(_verified(pairs, docs, width, percent))
 
 
@@ -244,13 +251,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     docs = docs.select("doc_id", "text")
     signed = _signed(docs, width)
-    sizes = signed.where("part is null").select("doc_id", "n", "h1", "h2", "bins0", "bins1")
+    sizes = signed.where("part is null").select("doc_id", "n", "h1", "h2", "bins")
     filled = sizes.where("n > 0 and doc_id is not null")
     reps = write_scratch(
-        filled.groupBy("h1", "h2", "n", "bins0", "bins1").agg(F.min("doc_id").alias("id")), "distinct-sets"
+        filled.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("id")), "distinct-sets"
     )
     prefixes = _prefixes(docs, reps, _frequencies(signed), width, percent)
-    labels = components(_links(docs, reps, prefixes, width, percent))
+    labels = components(_links(docs, filled, prefixes, width, percent))
     placed = reps.join(labels, "id", "left").select(
         F.col("h1").alias("of_h1"), F.col("h2").alias("of_h2"), F.coalesce("component", "id").alias("component")
     )
