@@ -7,6 +7,8 @@ rows pass, which costs time but changes no result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -42,3 +44,15 @@ def is_set(bits: np.ndarray, column: pa.Array) -> np.ndarray:
     """Which values of a `bit_of` column are set."""
     at = column.to_numpy(zero_copy_only=False).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def passing(rows: DataFrame, wanted: Broadcast, which: bool, *keys: str) -> DataFrame:
+    """The rows whose bit is set, or those whose bit is not, with their columns as they are."""
+    marked = rows.withColumn("filter_bit", bit_of(*keys))
+
+    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = is_set(wanted.value, batch.column("filter_bit"))
+            yield batch.filter(pa.array(hit == which)).select(range(batch.num_columns - 1))
+
+    return marked.mapInArrow(kept, rows.schema)

@@ -273,5 +273,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     Rows that repeat an id stay together; rows without an id stay.
     """
     found = near_duplicates(docs, width, percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = write_scratch(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    wanted = members.bitmap(gone, "doc_id")
+    checked = members.passing(docs, wanted, True, "doc_id").join(gone, "doc_id", "left_anti").select(docs.columns)
+    return members.passing(docs, wanted, False, "doc_id").union(checked)

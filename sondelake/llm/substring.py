@@ -116,17 +116,7 @@ def _with(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
     """Documents joined with their rows of ``per_doc``; others are left out before the shuffle."""
     per_doc = write_scratch(per_doc, "per-document")
     wanted = members.bitmap(per_doc, "doc_id", "text_key")
-    return _passing(docs, wanted, True).join(per_doc, ["doc_id", "text_key"])
-
-
-def _passing(docs: DataFrame, wanted, which: bool) -> DataFrame:
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = members.is_set(wanted.value, batch.column("bit"))
-            yield batch.filter(pa.array(hit == which)).select(["doc_id", "text", "text_key"])
-
-    marked = docs.withColumn("bit", members.bit_of("doc_id", "text_key"))
-    return marked.mapInArrow(rows, "doc_id long, text string, text_key long")
+    return members.passing(docs, wanted, True, "doc_id", "text_key").join(per_doc, ["doc_id", "text_key"])
 
 
 def _duplicates(docs: DataFrame, width: int) -> DataFrame:
@@ -139,11 +129,11 @@ def _duplicates(docs: DataFrame, width: int) -> DataFrame:
         .where("low < high")
         .drop("high")
     )
-    members_ = write_scratch(index.join(shared, "anchor"), "shared-blocks")
-    whole = members_.where("not mixed and doc_id > low").select(
+    indexed_ = write_scratch(index.join(shared, "anchor"), "shared-blocks")
+    whole = indexed_.where("not mixed and doc_id > low").select(
         "doc_id", "text_key", "start", "n", F.lit(None).cast("array<long>").alias("offsets")
     )
-    mixed = members_.where("mixed").drop("low", "mixed")
+    mixed = indexed_.where("mixed").drop("low", "mixed")
     # One document stands for all that hold a block: the smallest, which is what later ones ask for.
     held = mixed.groupBy("anchor", "block").agg(
         F.min(F.struct("doc_id", "text_key", "start", "n")).alias("one"), F.max("doc_id").alias("top")
@@ -223,5 +213,5 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "per-document",
     )
     wanted = members.bitmap(per_doc, "doc_id", "text_key")
-    touched = _passing(docs, wanted, True).join(per_doc, ["doc_id", "text_key"], "left")
-    return _digests(touched, width).union(_digests(_passing(docs, wanted, False), width))
+    touched = members.passing(docs, wanted, True, "doc_id", "text_key").join(per_doc, ["doc_id", "text_key"], "left")
+    return _digests(touched, width).union(_digests(members.passing(docs, wanted, False, "doc_id", "text_key"), width))
