@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sondelake.llm import decontam, langid, mixing, ngram_join, secret_scan
-from sondelake.llm.queries import importable, table
+from sondelake.llm.queries import prepare, table
 from sondelake.operators.scratch import write_scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no letters, or no text) go."""
-    importable(spark)
+    prepare(spark)
     return langid.with_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by a Jaccard similarity of 0.8 on five words, the smallest id stays."""
-    importable(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs, width=5, percent=80)
 
 
@@ -32,7 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; secrets in their texts are masked."""
-    importable(spark)
+    prepare(spark)
     return secret_scan.without_secrets(docs)
 
 

@@ -12,20 +12,24 @@ from sondelake.llm import decontam, langid, mixing, ngram_join, pii, repetition,
 #: Tokenizer whose tokens are counted; `public_tokenizers` knows its place.
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver found it.
+def prepare(spark: SparkSession) -> None:
+    """Settings for sessions that run these operators.
 
-    For sessions whose workers do not start in the repository; a cluster gets the package by
-    ``--py-files`` or its image.
+    Texts are long, so Arrow batches hold fewer rows than Spark's default, unless the session
+    says otherwise. And Python workers find this package where the driver found it, for sessions
+    whose workers do not start in the repository; a cluster gets it by ``--py-files`` or its image.
     """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "500")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
