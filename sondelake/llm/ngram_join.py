@@ -204,7 +204,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 def _links(docs: DataFrame, sizes: DataFrame, prefixes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between distinct sets: enough of them to connect all that are connected."""
     meet = prefixes.groupBy("shingle").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
-    groups = write_scratch(prefixes.join(meet.select("shingle", "hub"), "shingle"), "groups")
+    # Stored, so that the join shuffles both sides and a hot shingle's rows can be split.
+    meet = write_scratch(meet.select("shingle", "hub"), "meeting")
+    groups = write_scratch(prefixes.join(meet, "shingle"), "groups")
 
     hubs = groups.where("id = hub").select("shingle", F.col("n").alias("hub_n"), F.col("place").alias("hub_place"))
     near = groups.where("id > hub").join(hubs, "shingle")

@@ -129,17 +129,19 @@ def _duplicates(docs: DataFrame, width: int) -> DataFrame:
         .where("low < high")
         .drop("high")
     )
-    indexed_ = write_scratch(index.join(shared, "anchor"), "shared-blocks")
-    whole = indexed_.where("not mixed and doc_id > low").select(
+    held_again = write_scratch(index.join(write_scratch(shared, "anchors"), "anchor"), "shared-blocks")
+    whole = held_again.where("not mixed and doc_id > low").select(
         "doc_id", "text_key", "start", "n", F.lit(None).cast("array<long>").alias("offsets")
     )
-    mixed = indexed_.where("mixed").drop("low", "mixed")
+    mixed = held_again.where("mixed").drop("low", "mixed")
     # One document stands for all that hold a block: the smallest, which is what later ones ask for.
     held = mixed.groupBy("anchor", "block").agg(
         F.min(F.struct("doc_id", "text_key", "start", "n")).alias("one"), F.max("doc_id").alias("top")
     )
     windows = write_scratch(_windows(docs, held.select("anchor", "block", "one.*", "top"), width), "windows")
-    lowest = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("low"))
+    lowest = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("low"), F.max("top").alias("most"))
+    # Stored, so that the join below shuffles both sides and a hot window's rows can be split.
+    lowest = write_scratch(lowest.where("low < most").drop("most"), "lowest")
     found = windows.join(lowest, ["anchor", "window"]).where("low < top")
     cuts = found.groupBy("anchor", "block").agg(F.collect_list(F.struct("at", "low")).alias("cuts"))
     part = mixed.join(cuts, ["anchor", "block"]).select(
