@@ -34,8 +34,10 @@ STRETCH = 128
 SCHEMA = "doc_id long, lang_pred string, score double, n_letters long, bits double"
 
 _BLANK = 0
-_PHRASE = np.int32(1 << 30)
-_STATE = np.int32((1 << 30) - 1)
+# A step holds the next state and, above it, the number of phrases that end with it.
+_SHIFT = 29
+_PHRASE = np.int32(1 << _SHIFT)
+_STATE = np.int32((1 << _SHIFT) - 1)
 
 
 @dataclass
@@ -121,10 +123,12 @@ def build(samples: dict[str, list[str]]) -> Model:
         text = symbols[codes][_collapsed(symbols[codes], owner)][:limit]
         edges = suffix_automaton(text[text != other].tolist())
         table = np.empty((len(edges), width), dtype=np.int32)
-        # No transition: the phrase ends, and the next one begins with this symbol.
-        restart = np.full(width, base, dtype=np.int32)
-        restart[list(edges[0])] = np.array(list(edges[0].values()), dtype=np.int32) + base
-        table[:] = restart | _PHRASE
+        # No transition: the phrase ends, and the next one begins with this symbol. A symbol that the
+        # sample does not hold is a phrase of its own.
+        restart = np.full(width, base + 2 * _PHRASE, dtype=np.int32)
+        restart[list(edges[0])] = np.array(list(edges[0].values()), dtype=np.int32) + base + _PHRASE
+        table[:] = restart
+        table[0] -= _PHRASE  # at the start no phrase is open
         for state, out in enumerate(edges):
             table[state, list(out)] = np.array(list(out.values()), dtype=np.int32) + base
         table[:, end] = np.arange(base, base + len(edges))
@@ -188,7 +192,7 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     phrases = np.zeros((n_languages, first[-1]), dtype=np.int32)
     for column in rows:
         step = model.table[state * np.int32(model.width) + column]
-        phrases += step >> 30
+        phrases += step >> _SHIFT
         state = step & _STATE
     sums = np.concatenate([np.zeros((n_languages, 1), np.int64), np.cumsum(phrases, axis=1)], axis=1)
     return (sums[:, first[1:]] - sums[:, first[:-1]]).T, letters
