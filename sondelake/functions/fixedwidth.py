@@ -27,8 +27,9 @@ def _text(line: str, field: Field) -> str:
 
 
 def _int(line: str, field: Field) -> str:
-    # The cast ignores surrounding blanks and control characters itself.
-    return f"try_cast({_slice(line, field)} AS int)"
+    # The cast ignores surrounding blanks and control characters itself, but also U+007F, which
+    # is not among the trimmed ones: replaced by a letter, it makes the field malformed.
+    return f"try_cast(replace({_slice(line, field)}, '\\u007f', 'x') AS int)"
 
 
 def text_value(line: str, field: Field) -> Column:

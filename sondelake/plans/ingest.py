@@ -31,7 +31,7 @@ from sondelake.operators.quality import (
 )
 from sondelake.operators.scratch import scratch_area, write_scratch
 from sondelake.plans.lake import Lake
-from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, read_records
+from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, literal_path, read_records
 
 
 def _block_quarantine(blocks: DataFrame) -> DataFrame:
@@ -187,14 +187,19 @@ def pending_files(lake: Lake, inbox: str) -> DataFrame:
 def ingest(lake: Lake, inbox: str, load_id: str) -> DataFrame | None:
     """Load the inbox files not loaded before; None if there are none.
 
+    A finished load id is refused, as writing under it would replace its rows. An unfinished one is
+    done again: its files are not in the ledger, so they are among the new ones.
+
     The list of new file names passes through the driver, as every list of input paths does.
     For a steadily filled inbox use `streaming.pickup`, which keeps that list in its checkpoint.
     """
+    if not lake.ledger.read_load(load_id).isEmpty():
+        raise ValueError(f"load {load_id!r} is finished; new files need a load id of their own")
     names = [row.file for row in pending_files(lake, inbox).select("file").toLocalIterator()]
     if not names:
         return None
     try:
-        return ingest_records(lake, read_records(lake.spark, names), load_id)
+        return ingest_records(lake, read_records(lake.spark, [literal_path(n) for n in names]), load_id)
     except Exception as error:
         lake.log_error("ingest", error)
         raise

@@ -13,10 +13,6 @@ from sondelake.plans.lake import Lake
 from sondelake.sources.published import write_run
 from sondelake.sources.tables import LOAD_COLUMN
 
-#: Up to this many loads are named in a partition filter; beyond it the join prunes alone.
-NAMED_LOADS = 1000
-
-
 @dataclass(frozen=True)
 class Published:
     """What a run did: its mode and the range of header ids it published."""
@@ -38,10 +34,9 @@ def published_rows(
     if lake.whole_files:
         return extract(headers, levels, hi, lo, inclusive=inclusive)
     if lo is not None:
-        in_range = headers.where(id_range(hi, lo, inclusive=inclusive))
-        loads = in_range.select(LOAD_COLUMN).distinct().limit(NAMED_LOADS + 1).collect()
-        if len(loads) <= NAMED_LOADS:
-            levels = levels.where(F.col(LOAD_COLUMN).isin([row[0] for row in loads]))
+        # One short row per load; joining by broadcast prunes the folders of all other loads.
+        loads = headers.where(id_range(hi, lo, inclusive=inclusive)).select(LOAD_COLUMN).distinct()
+        levels = levels.join(F.broadcast(loads), LOAD_COLUMN, "left_semi")
     return extract(headers, levels, hi, lo, inclusive=inclusive, on=(LOAD_COLUMN, "uid"))
 
 
@@ -56,17 +51,18 @@ def publish(
     row = lake.control.current(etl_name)
     if row is None:
         return None
-    if row.load_mode == INVALID_MODE:
-        raise ValueError(f"control row {row.id} cannot range over {row.filter_col1_name!r}")
-    hi = max_header_id(lake.headers.read()).head()[0]
-    if hi is None:
-        return None
-    lo = int(row.filter_col1_value) if row.load_mode == DELTA_MODE else None
     try:
+        if row.load_mode == INVALID_MODE:
+            raise ValueError(f"control row {row.id} cannot range over {row.filter_col1_name!r}")
+        hi = max_header_id(lake.headers.read()).head()[0]
+        if hi is None:
+            return None
+        lo = int(row.filter_col1_value) if row.load_mode == DELTA_MODE else None
         if lo is None or lo < hi or inclusive:
             rows = published_rows(lake, hi, lo, inclusive=inclusive)
             write_run(with_band(pad_text(rows) if padded else rows), lake.published_path, lo)
-        lake.control.advance(row.id, hi)
+        # A mark above all ids stays: going back would publish later loads again.
+        lake.control.advance(row.id, hi if lo is None else max(lo, hi))
     except Exception as error:
         lake.log_error("publish", error)
         raise

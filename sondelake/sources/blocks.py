@@ -16,6 +16,10 @@ One block must fit one task's memory (a file without any header is one record).
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
@@ -51,11 +55,22 @@ def _with_origin(raw: DataFrame) -> DataFrame:
 
 
 def inbox_files(spark: SparkSession, inbox: str, extension: str = INBOX_EXTENSION) -> DataFrame:
-    """Files directly inside ``inbox`` with the extension (case-sensitive), without content."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}")
-    return listing.load(inbox).select(
-        F.col("_metadata.file_path").alias("file"), "length", "modificationTime"
-    )
+    """Files directly inside ``inbox`` with the extension (case-sensitive), without content.
+
+    Only direct children are listed: folders such as ``processed`` or ``k=1`` are not looked into.
+    """
+    try:
+        listing = spark.read.format("binaryFile").load(f"{inbox}/*.{extension}")
+    except AnalysisException as error:  # no such file yet
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, length long, modificationTime timestamp")
+    return listing.select(F.col("_metadata.file_path").alias("file"), "length", "modificationTime")
+
+
+def literal_path(file: str) -> str:
+    """A listed file name (an encoded URI) as a path that readers take as it is, not as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(file))
 
 
 def read_records(
@@ -75,7 +90,7 @@ def stream_records(
     reader = _configured(spark.readStream, extension)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return _with_origin(reader.text(inbox))
+    return _with_origin(reader.text(f"{inbox}/*.{extension}"))
 
 
 def cut_lines(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:

@@ -17,6 +17,12 @@ def _file_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name not in _ENGINE_COLUMNS])
 
 
+def _any_of(prefix: str) -> str:
+    """Names of staged files: those delivered under ``prefix``, and those `write_staged` makes."""
+    extension = "".join(f"[{c}{c.upper()}]" for c in STAGED_EXTENSION)
+    return f"{{{prefix}*,part-*}}.{extension}"
+
+
 STAGED_HEADER_SCHEMA = _file_schema(HEADER_SCHEMA)
 STAGED_LEVEL_SCHEMA = _file_schema(LEVEL_SCHEMA)
 
@@ -51,11 +57,11 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, glob: str) -> Da
     )
 
 
-def read_staged_headers(spark: SparkSession, path: str, glob: str = f"{HEADER_PREFIX}*.{STAGED_EXTENSION}") -> DataFrame:
-    """Header rows of the staged files directly inside ``path`` whose name fits ``glob``."""
+def read_staged_headers(spark: SparkSession, path: str, glob: str = _any_of(HEADER_PREFIX)) -> DataFrame:
+    """Header rows of the staged files below ``path`` whose name fits ``glob``."""
     return _read(spark, path, STAGED_HEADER_SCHEMA, glob)
 
 
-def read_staged_levels(spark: SparkSession, path: str, glob: str = f"{LEVEL_PREFIX}*.{STAGED_EXTENSION}") -> DataFrame:
-    """Level rows of the staged files directly inside ``path`` whose name fits ``glob``."""
+def read_staged_levels(spark: SparkSession, path: str, glob: str = _any_of(LEVEL_PREFIX)) -> DataFrame:
+    """Level rows of the staged files below ``path`` whose name fits ``glob``."""
     return _read(spark, path, STAGED_LEVEL_SCHEMA, glob)

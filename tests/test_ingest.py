@@ -170,3 +170,39 @@ def test_failure_is_logged(spark, tmp_path, monkeypatch):
         ingest(lake, inbox, "l1")
     assert lake.headers.read().count() == 0
     assert times(lake.errors(), "etl_name", "exception_message") == [("ingest", "it's full")]
+
+
+def test_finished_load_id_is_refused(spark, tmp_path):
+    inbox = put(tmp_path / "in", "a.txt", good("0100"))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, inbox, "day")
+    put(tmp_path / "in", "b.txt", good("0200"))
+    with pytest.raises(ValueError, match="finished"):
+        ingest(lake, inbox, "day")
+    ingest(lake, inbox, "day-2")
+    assert times(lake.headers.read(), "uid", "load_id") == [(uid(reltime="0100"), "day"), (uid(reltime="0200"), "day-2")]
+
+
+def test_any_file_name_and_only_direct_children(spark, tmp_path):
+    names = ["a b.txt", "a[1].txt", "a%41.txt", "a+b.txt", "{x,y}.txt"]
+    for k, name in enumerate(names):
+        inbox = put(tmp_path / "in", name, good(f"0{k}00"))
+    put(tmp_path / "in" / "k=1", "c.txt", good("1200"))
+    put(tmp_path / "in" / "processed", "d.txt", good("1300"))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, inbox, "l1")
+    assert sorted(r.uid[-4:] for r in lake.headers.read().collect()) == [f"0{k}00" for k in range(len(names))]
+    assert ingest(lake, inbox, "l2") is None
+    streamed = Lake(spark, str(tmp_path / "streamed"))
+    pickup(streamed, inbox, str(tmp_path / "checkpoint"))
+    assert streamed.headers.read().count() == len(names)
+
+
+def test_checkpoints_do_not_share_load_ids(spark, tmp_path):
+    one = put(tmp_path / "one", "a.txt", good("0100"))
+    two = put(tmp_path / "two", "a.txt", good("0200"))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    pickup(lake, one, str(tmp_path / "c1"))
+    pickup(lake, two, str(tmp_path / "c2"))
+    assert sorted(r.uid[-4:] for r in lake.headers.read().collect()) == ["0100", "0200"]
+    assert lake.headers.read().select("load_id").distinct().count() == 2

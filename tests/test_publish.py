@@ -198,3 +198,17 @@ def test_whole_file_lake_joins_on_uid_alone(spark, tmp_path):
     levels = [(3, 0, 1, 2, "", 700, "", 3, "", 4, 5, 6, 7, "USM0100", "l2")]
     lake.levels.write_load(spark.createDataFrame(levels, LEVEL_SCHEMA), "l2")
     assert {r.gph for r in published_rows(lake, 1).collect()} == {250, 700}
+
+
+def test_mark_does_not_go_back(lake):
+    publish(lake, JOB)
+    lake.control.advance(lake.control.current(JOB).id, 900)
+    publish(lake, JOB)
+    assert state(lake) == ("N", "900")
+
+
+def test_delta_prunes_level_folders_by_join(spark, lake):
+    load(lake, "l2", sounding("0300", 1500))
+    rows = published_rows(lake, 3, 2)
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+    assert [r.gph for r in rows.collect()] == [1500]

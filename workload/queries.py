@@ -106,7 +106,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "csv")
     write_staged(headers, STAGED_HEADER_SCHEMA, path, "file")
-    return read_staged_headers(spark, path, glob="*.csv")
+    return read_staged_headers(spark, path)
 
 
 # --- blocks from files ----------------------------------------------------------------------
