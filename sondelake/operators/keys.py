@@ -65,12 +65,12 @@ def files_with_conflicts(
         uids = write_scratch(claims.select("uid").distinct(), "uids")
         taken = write_scratch(uids_taken(uids, existing), "taken")
         refused = refused.union(
-            join_checked(claims, taken, "uid", "left_semi", spread_by="file").select("file")
+            join_checked(claims, taken, "uid", "left_semi").select("file")
         )
     if already_refused is not None:
         refused = refused.union(already_refused.select("file"))
     refused = write_scratch(refused.distinct(), "refused")
-    valid = join_checked(claims.select("uid", "file"), refused, "file", "left_anti", spread_by="uid")
+    valid = join_checked(claims.select("uid", "file"), refused, "file", "left_anti")
     shared = (
         valid.groupBy("uid")
         .agg(F.min("file").alias("lo"), F.max("file").alias("hi"))
@@ -78,7 +78,7 @@ def files_with_conflicts(
         .select("uid")
     )
     open_claims = write_scratch(
-        join_checked(valid, write_scratch(shared, "shared"), "uid", "left_semi", spread_by="file"),
+        join_checked(valid, write_scratch(shared, "shared"), "uid", "left_semi"),
         "open",
     )
     while not open_claims.isEmpty():
@@ -89,17 +89,17 @@ def files_with_conflicts(
             led.join(total, "file").where("led = total").select("file"), "accepted"
         )
         gone = write_scratch(
-            join_checked(leaders, accepted, "file", "left_semi", spread_by="uid").select(
+            join_checked(leaders, accepted, "file", "left_semi").select(
                 "uid", F.col("file").alias("winner")
             ),
             "won",
         )
-        lost = join_checked(open_claims, gone, "uid", "inner", spread_by="file")
+        lost = join_checked(open_claims, gone, "uid", "inner")
         lost = write_scratch(lost.where("file <> winner").select("file").distinct(), "lost")
         refused = refused.union(lost)
         done = write_scratch(accepted.union(lost), "done")
         open_claims = write_scratch(
-            join_checked(open_claims, done, "file", "left_anti", spread_by="uid"), "open"
+            join_checked(open_claims, done, "file", "left_anti"), "open"
         )
     return refused
 

@@ -39,24 +39,33 @@ def first_reason(*checks: tuple[str, Column]) -> Column:
     return F.coalesce(*[F.concat(F.lit(f"{label}:"), name) for label, name in checks])
 
 
+def _row_checks(not_null: Iterable[str], widths: Mapping[str, int], layout: Layout) -> tuple:
+    """Checks on the declared columns that rows of ``layout`` have; the uid is always one."""
+    known = {f.name.lower() for f in layout.fields} | {"uid"}
+    return (
+        ("null", null_name([c for c in not_null if c in known])),
+        ("width", wide_name({c: n for c, n in widths.items() if c in known})),
+    )
+
+
+def header_checks(layout: Layout = HEADER_LAYOUT) -> tuple:
+    return _row_checks(HEADER_NOT_NULL, HEADER_TEXT_WIDTHS, layout)
+
+
+def level_checks(layout: Layout = LEVEL_LAYOUT) -> tuple:
+    return _row_checks(LEVEL_NOT_NULL, LEVEL_TEXT_WIDTHS, layout)
+
+
 def header_reason(layout: Layout = HEADER_LAYOUT) -> Column:
     """Why a row of `decode_headers` must not be loaded; NULL if it may."""
     return F.when(~header_is_sound(layout), F.lit(BAD_HEADER)).otherwise(
-        first_reason(
-            ("malformed", malformed_name("header", layout)),
-            ("null", null_name(HEADER_NOT_NULL)),
-            ("width", wide_name(HEADER_TEXT_WIDTHS)),
-        )
+        first_reason(("malformed", malformed_name("header", layout)), *header_checks(layout))
     )
 
 
 def level_reason(layout: Layout = LEVEL_LAYOUT) -> Column:
     """Why a decoded level must not be loaded, next to its ``line``; NULL if it may."""
-    return first_reason(
-        ("malformed", malformed_name("line", layout)),
-        ("null", null_name(LEVEL_NOT_NULL)),
-        ("width", wide_name(LEVEL_TEXT_WIDTHS)),
-    )
+    return first_reason(("malformed", malformed_name("line", layout)), *level_checks(layout))
 
 
 def bad_header_cutoffs(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
@@ -71,6 +80,6 @@ def bad_header_cutoffs(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> Dat
 def cut_at_bad_header(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     """Keep only the blocks of each file before its first unusable header."""
     cutoffs = write_scratch(bad_header_cutoffs(blocks, layout), "cutoffs")
-    marked = join_checked(blocks, cutoffs, "file", "left", spread_by="seq")
+    marked = join_checked(blocks, cutoffs, "file", "left")
     before = F.struct("block_start", "seq") < F.col("cutoff")
     return marked.where(F.col("cutoff").isNull() | before).drop("cutoff")

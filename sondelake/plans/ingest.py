@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sondelake.functions.fixedwidth import block_uid
-from sondelake.functions.layout import HEADER_LAYOUT
+from sondelake.functions.layout import Layout
 from sondelake.operators.decode import ORIGIN, decode_headers, decode_levels, level_lines
 from sondelake.operators.joins import join_checked
 from sondelake.operators.keys import duplicates, files_with_conflicts, serial_ids
@@ -34,13 +34,13 @@ from sondelake.plans.lake import Lake
 from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, literal_path, read_records
 
 
-def _block_quarantine(blocks: DataFrame) -> DataFrame:
+def _block_quarantine(blocks: DataFrame, layout: Layout) -> DataFrame:
     """Whole refused blocks; ``blocks`` carries the reason."""
     return blocks.select(
         F.col("file").alias("source_file"),
         "block_start",
         "seq",
-        block_uid("header", HEADER_LAYOUT).alias("uid"),
+        block_uid("header", layout).alias("uid"),
         F.lit("block").alias("scope"),
         "reason",
         F.concat_ws("\n", F.col("header"), F.array_join("body", "\n")).alias("raw"),
@@ -59,26 +59,28 @@ def _line_quarantine(judged: DataFrame) -> DataFrame:
     )
 
 
-def _judged_levels(blocks: DataFrame) -> DataFrame:
+def _judged_levels(blocks: DataFrame, lake: Lake) -> DataFrame:
     """Decoded levels of whole groups with their line, origin and the reason to refuse them."""
-    levels = decode_levels(level_lines(blocks), keep=(*ORIGIN, "line"))
-    return levels.withColumn("reason", level_reason()).withColumnRenamed("file", "source_file")
+    lines = level_lines(blocks, lake.header_layout)
+    levels = decode_levels(lines, lake.level_layout, keep=(*ORIGIN, "line"))
+    return levels.withColumn("reason", level_reason(lake.level_layout)).withColumnRenamed("file", "source_file")
 
 
-def _checked_headers(blocks: DataFrame) -> DataFrame:
+def _checked_headers(blocks: DataFrame, lake: Lake) -> DataFrame:
     """Decoded headers with the reason to refuse them, written once for the key steps."""
-    return write_scratch(decode_headers(blocks).withColumn("reason", header_reason()), "headers")
+    headers = decode_headers(blocks, lake.header_layout)
+    return write_scratch(headers.withColumn("reason", header_reason(lake.header_layout)), "headers")
 
 
-def _header_rows(checked: DataFrame, lake: Lake, load_id: str) -> DataFrame:
+def header_rows(checked: DataFrame, lake: Lake, load_id: str) -> DataFrame:
+    """Headers of a load, numbered on from those of the other loads."""
     base = lake.headers.read_other_loads(load_id).agg(F.max("header_id")).head()[0] or 0
     rows = checked.drop("header", "reason").withColumn("source_file", F.col("file"))
     return serial_ids(rows, list(ORIGIN), base=base)
 
 
-def _ledger_rows(cut: DataFrame, lake: Lake, load_id: str) -> DataFrame:
-    """Per input file: blocks found, headers and levels loaded."""
-    found = cut.groupBy("file").agg(F.count("*").alias("blocks"))
+def ledger_rows(found: DataFrame, lake: Lake, load_id: str) -> DataFrame:
+    """Per input file: blocks ``found``, headers and levels loaded."""
 
     def loaded(table, name: str) -> DataFrame:
         rows = table.read_load(load_id).groupBy(F.col("source_file").alias("file"))
@@ -92,7 +94,7 @@ def _ledger_rows(cut: DataFrame, lake: Lake, load_id: str) -> DataFrame:
 
 
 def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
-    checked = _checked_headers(blocks)
+    checked = _checked_headers(blocks, lake)
     keys = checked.where("reason IS NULL").select("uid", *ORIGIN)
     existing = lake.headers.read_other_loads(load_id)
     copies = duplicates(keys, existing).withColumn("reason", F.lit(DUPLICATE_UID))
@@ -101,13 +103,13 @@ def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     )
     refused_seq = refused.select("seq")
 
-    judged = _judged_levels(join_checked(blocks, refused_seq, "seq", "left_anti"))
+    judged = _judged_levels(join_checked(blocks, refused_seq, "seq", "left_anti"), lake)
     seen = Observation()
     levels = judged.observe(seen, F.count("reason").alias("bad")).where("reason IS NULL")
     lake.levels.write_load(levels, load_id)
 
     refusals = join_checked(blocks, refused, "seq", "inner")
-    rejected = _block_quarantine(refusals)
+    rejected = _block_quarantine(refusals, lake.header_layout)
     if seen.get["bad"]:
         # Only now is a second pass over the lines worth it.
         rejected = rejected.union(_line_quarantine(judged.where("reason IS NOT NULL")))
@@ -115,32 +117,33 @@ def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
 
     # Headers last: a reader finds levels only through them.
     good = join_checked(checked, refused_seq, "seq", "left_anti")
-    lake.headers.write_load(_header_rows(good, lake, load_id), load_id)
+    lake.headers.write_load(header_rows(good, lake, load_id), load_id)
 
 
 def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
-    cutoffs = write_scratch(bad_header_cutoffs(blocks), "cutoffs")
-    marked = join_checked(blocks, cutoffs, "file", "left", spread_by="seq")
+    cutoffs = write_scratch(bad_header_cutoffs(blocks, lake.header_layout), "cutoffs")
+    marked = join_checked(blocks, cutoffs, "file", "left")
     lost = F.coalesce(F.struct("block_start", "seq") >= F.col("cutoff"), F.lit(False))
     kept = marked.where(~lost).drop("cutoff")
 
-    judged = _judged_levels(kept)
+    # Written once: three steps follow that would each decode all lines again.
+    judged = write_scratch(_judged_levels(kept, lake), "judged")
     bad_level_files = judged.where("reason IS NOT NULL").select(F.col("source_file").alias("file"))
     bad_level_files = write_scratch(bad_level_files.distinct(), "bad-level-files")
     files = judged.withColumn("file", F.col("source_file"))
-    levels = join_checked(files, bad_level_files, "file", "left_anti", spread_by="seq")
+    levels = join_checked(files, bad_level_files, "file", "left_anti")
     lake.levels.write_load(levels, load_id)
 
-    checked = _checked_headers(kept)
+    checked = _checked_headers(kept, lake)
     invalid = checked.where("reason IS NOT NULL").select("file").distinct()
     existing = lake.headers.read_other_loads(load_id)
     refused = files_with_conflicts(checked.select("uid", "file"), existing, invalid)
     refused = write_scratch(refused.distinct(), "refused-files")
 
     cut_away = _block_quarantine(
-        marked.where(lost).withColumn("reason", F.lit(f"after_{BAD_HEADER}"))
+        marked.where(lost).withColumn("reason", F.lit(f"after_{BAD_HEADER}")), lake.header_layout
     )
-    header_files = join_checked(checked, refused, "file", "left_semi", spread_by="seq").select(
+    header_files = join_checked(checked, refused, "file", "left_semi").select(
         F.col("file").alias("source_file"),
         "block_start",
         "seq",
@@ -149,7 +152,7 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
         F.coalesce("reason", F.lit(FILE_REFUSED)).alias("reason"),
         F.col("header").alias("raw"),
     )
-    refused_lines = join_checked(files, bad_level_files, "file", "left_semi", spread_by="seq")
+    refused_lines = join_checked(files, bad_level_files, "file", "left_semi")
     level_files = _line_quarantine(refused_lines).withColumns(
         {
             "scope": F.lit("level_file"),
@@ -158,8 +161,8 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     )
     lake.quarantine.write_load(cut_away.union(header_files).union(level_files), load_id)
 
-    good = join_checked(checked, refused, "file", "left_anti", spread_by="seq")
-    lake.headers.write_load(_header_rows(good, lake, load_id), load_id)
+    good = join_checked(checked, refused, "file", "left_anti")
+    lake.headers.write_load(header_rows(good, lake, load_id), load_id)
 
 
 def ingest_records(lake: Lake, records: DataFrame, load_id: str) -> DataFrame:
@@ -167,14 +170,16 @@ def ingest_records(lake: Lake, records: DataFrame, load_id: str) -> DataFrame:
 
     A load replaces whatever an earlier attempt with the same ``load_id`` wrote.
     """
+    lake.check_rules(keep=True)
     with scratch_area(lake.spark):
-        cut = write_scratch(cut_lines(records), "blocks")
+        cut = write_scratch(cut_lines(records, lake.header_layout), "blocks")
         blocks = assemble_blocks(cut)
         if lake.whole_files:
             _ingest_by_file(lake, blocks, load_id)
         else:
             _ingest_by_block(lake, blocks, load_id)
-        lake.ledger.write_load(_ledger_rows(cut, lake, load_id), load_id)
+        found = cut.groupBy("file").agg(F.count("*").alias("blocks"))
+        lake.ledger.write_load(ledger_rows(found, lake, load_id), load_id)
     return lake.ledger.read_load(load_id)
 
 
@@ -184,17 +189,22 @@ def pending_files(lake: Lake, inbox: str) -> DataFrame:
     return files.join(lake.ledger.read(), "file", "left_anti")
 
 
+def refuse_finished(lake: Lake, load_id: str) -> None:
+    """Raise if the load is in the ledger: writing under its id again would replace its rows."""
+    if not lake.ledger.read_load(load_id).isEmpty():
+        raise ValueError(f"load {load_id!r} is finished; new files need a load id of their own")
+
+
 def ingest(lake: Lake, inbox: str, load_id: str) -> DataFrame | None:
     """Load the inbox files not loaded before; None if there are none.
 
-    A finished load id is refused, as writing under it would replace its rows. An unfinished one is
-    done again: its files are not in the ledger, so they are among the new ones.
+    A finished load id is refused. An unfinished one is done again: its files are not in the
+    ledger, so they are among the new ones.
 
     The list of new file names passes through the driver, as every list of input paths does.
     For a steadily filled inbox use `streaming.pickup`, which keeps that list in its checkpoint.
     """
-    if not lake.ledger.read_load(load_id).isEmpty():
-        raise ValueError(f"load {load_id!r} is finished; new files need a load id of their own")
+    refuse_finished(lake, load_id)
     names = [row.file for row in pending_files(lake, inbox).select("file").toLocalIterator()]
     if not names:
         return None

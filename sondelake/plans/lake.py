@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondelake.functions.layout import HEADER_LAYOUT, LEVEL_LAYOUT, Layout
 from sondelake.operators.control import ControlTable
 from sondelake.schemas import (
     ERROR_SCHEMA,
-    HEADER_SCHEMA,
     LEDGER_SCHEMA,
-    LEVEL_SCHEMA,
     QUARANTINE_SCHEMA,
+    header_schema,
+    level_schema,
 )
-from sondelake.sources.tables import LoadTable, append_rows, read_or_empty
+from sondelake.sources.tables import LoadTable, append_rows, path_exists, read_or_empty
+
+_BY_FILE, _BY_BLOCK = "whole files", "blocks"
 
 
 class Lake:
@@ -21,20 +24,46 @@ class Lake:
 
     ``whole_files`` selects the file-at-a-time rules for bad input (see `plans.ingest`). In
     that mode a load may hold levels whose header came with another load, so readers join on
-    the uid alone; otherwise a level and its header always share their load.
+    the uid alone; otherwise a level and its header always share their load. The first load
+    writes the choice into the lake, and a lake opened with the other one is refused.
+
+    The layouts say how lines are decoded and which columns the tables have; by default they are
+    the built-in ones, and `functions.layout.load_layout` reads others.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, whole_files: bool = False):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        *,
+        whole_files: bool = False,
+        header_layout: Layout = HEADER_LAYOUT,
+        level_layout: Layout = LEVEL_LAYOUT,
+    ):
         root = root.rstrip("/")
         self.spark = spark
         self.whole_files = whole_files
-        self.headers = LoadTable(spark, f"{root}/headers", HEADER_SCHEMA)
-        self.levels = LoadTable(spark, f"{root}/levels", LEVEL_SCHEMA)
+        self.header_layout = header_layout
+        self.level_layout = level_layout
+        self.headers = LoadTable(spark, f"{root}/headers", header_schema(header_layout))
+        self.levels = LoadTable(spark, f"{root}/levels", level_schema(level_layout))
         self.quarantine = LoadTable(spark, f"{root}/quarantine", QUARANTINE_SCHEMA)
         self.ledger = LoadTable(spark, f"{root}/ledger", LEDGER_SCHEMA)
         self.control = ControlTable(spark, f"{root}/control")
         self.errors_path = f"{root}/errors"
         self.published_path = f"{root}/published"
+        self._rules_path = f"{root}/rules"
+
+    def check_rules(self, *, keep: bool = False) -> None:
+        """Raise if the lake was filled under other rules; with ``keep``, write down those of a new one."""
+        own = _BY_FILE if self.whole_files else _BY_BLOCK
+        if path_exists(self.spark, self._rules_path):
+            kept = self.spark.read.text(self._rules_path).head().value
+            if kept != own:
+                raise ValueError(f"this lake is loaded by {kept}, not by {own}")
+        elif keep:
+            rules = self.spark.createDataFrame([(own,)], "value string")
+            rules.coalesce(1).write.text(self._rules_path)
 
     def errors(self) -> DataFrame:
         return read_or_empty(self.spark, self.errors_path, ERROR_SCHEMA)

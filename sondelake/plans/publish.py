@@ -30,8 +30,12 @@ def published_rows(
     A delta reads only the level folders of the loads in its range: its cost follows the new
     data, not the size of the lake.
     """
+    lake.check_rules()
     headers, levels = lake.headers.read(), lake.levels.read()
     if lake.whole_files:
+        # Levels of a load that failed come again with the load that repeats its files.
+        finished = lake.ledger.read().select(LOAD_COLUMN).distinct()
+        levels = levels.join(F.broadcast(finished), LOAD_COLUMN, "left_semi")
         return extract(headers, levels, hi, lo, inclusive=inclusive)
     if lo is not None:
         # One short row per load; joining by broadcast prunes the folders of all other loads.

@@ -14,18 +14,23 @@ def _decoded_fields(layout: Layout) -> list[T.StructField]:
     ]
 
 
-#: Rows of the header table as a load writes them; ``header_id`` rises in load order.
-HEADER_SCHEMA = T.StructType(
-    [T.StructField("header_id", T.LongType())]
-    + _decoded_fields(HEADER_LAYOUT)
-    + [T.StructField("uid", T.StringType()), T.StructField("source_file", T.StringType())]
-)
+_KEY_AND_SOURCE = [T.StructField("uid", T.StringType()), T.StructField("source_file", T.StringType())]
 
-#: Rows of the level table. ``uid`` points at the header the level belongs to.
-LEVEL_SCHEMA = T.StructType(
-    _decoded_fields(LEVEL_LAYOUT)
-    + [T.StructField("uid", T.StringType()), T.StructField("source_file", T.StringType())]
-)
+
+def header_schema(layout: Layout = HEADER_LAYOUT) -> T.StructType:
+    """Rows of the header table as a load writes them; ``header_id`` rises in load order."""
+    return T.StructType(
+        [T.StructField("header_id", T.LongType()), *_decoded_fields(layout), *_KEY_AND_SOURCE]
+    )
+
+
+def level_schema(layout: Layout = LEVEL_LAYOUT) -> T.StructType:
+    """Rows of the level table. ``uid`` points at the header the level belongs to."""
+    return T.StructType([*_decoded_fields(layout), *_KEY_AND_SOURCE])
+
+
+HEADER_SCHEMA = header_schema()
+LEVEL_SCHEMA = level_schema()
 
 #: One row per publishing job: what to load next and how far the last run came.
 CONTROL_SCHEMA = T.StructType(
@@ -104,6 +109,7 @@ def seed_control(spark, etl_name: str):
     """First control row of a new job: not skipped, full load, ranged by header id."""
     from pyspark.sql import functions as F
 
+    # Flags and range column of a first control row.
     row = (1, etl_name, "N", "Y", None, "HEADER_ID", None, None, None)
     return spark.createDataFrame([row], CONTROL_SCHEMA).withColumn(
         "run_date", F.current_timestamp()

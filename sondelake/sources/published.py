@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sondelake.functions.bands import PARTITION_COLUMN
 from sondelake.functions.layout import HEADER_LAYOUT, LEVEL_LAYOUT
 from sondelake.schemas import PUBLISHED_COLUMNS
-from sondelake.sources.tables import read_or_empty
+from sondelake.sources.tables import delete_path, read_or_empty
 
 RUN_COLUMN = "from_id"
+_POINTER = "current"
+_POINTER_SCHEMA = T.StructType(
+    [T.StructField("folder", T.StringType()), T.StructField("version", T.LongType())]
+)
 
 _TEXT = {f.name.lower() for f in (*HEADER_LAYOUT.fields, *LEVEL_LAYOUT.fields) if f.is_text}
 PUBLISHED_SCHEMA = T.StructType(
@@ -37,18 +44,53 @@ def write_banded(
     rebalanced(rows, partition_column).write.mode(mode).partitionBy(partition_column).parquet(path)
 
 
+def _versions(spark: SparkSession, root: str) -> list[Row]:
+    """Folders of the full runs still kept, newest first; never more than three."""
+    kept = read_or_empty(spark, f"{root}/{_POINTER}", _POINTER_SCHEMA)
+    return kept.orderBy(F.desc("version")).collect()
+
+
+def current_folder(spark: SparkSession, root: str) -> str:
+    """Folder of the newest complete full run; ``root`` itself if no run was written there."""
+    newest = _versions(spark, root)[:1]
+    return f"{root}/{newest[0].folder}" if newest else root
+
+
+def _write_full(rows: DataFrame, root: str) -> None:
+    """Write a new folder beside the current one, then point to it.
+
+    Readers see the old rows until the new ones are complete. The folder before stays for
+    readers that are still at it, older ones go.
+    """
+    spark = rows.sparkSession
+    before = _versions(spark, root)
+    folder = f"run-{uuid.uuid4().hex}"
+    first = rebalanced(rows).selectExpr("*", f"0 AS {RUN_COLUMN}")
+    try:
+        first.write.partitionBy(RUN_COLUMN, PARTITION_COLUMN).parquet(f"{root}/{folder}")
+    except Exception:
+        delete_path(spark, f"{root}/{folder}")
+        raise
+    version = before[0].version + 1 if before else 1
+    pointer = spark.createDataFrame([(folder,)], "folder string").coalesce(1)
+    pointer.write.parquet(f"{root}/{_POINTER}/version={version}")
+    for old in before[1:]:
+        delete_path(spark, f"{root}/{_POINTER}/version={old.version}")
+        delete_path(spark, f"{root}/{old.folder}")
+
+
 def write_run(rows: DataFrame, root: str, from_id: int | None) -> None:
     """Write one publishing run below ``root``.
 
-    A full run (``from_id`` None) replaces the dataset. A delta run owns the folder named after
-    the id it starts from and replaces only that, whatever id it reaches, so repeating a run
-    whose control row was not advanced neither loses nor repeats rows.
+    A full run (``from_id`` None) replaces the dataset once it is complete. A delta run owns the
+    folder named after the id it starts from and replaces only that, whatever id it reaches, so
+    repeating a run whose control row was not advanced neither loses nor repeats rows.
     """
     if from_id is None:
-        first = rebalanced(rows).selectExpr("*", f"0 AS {RUN_COLUMN}")
-        first.write.mode("overwrite").partitionBy(RUN_COLUMN, PARTITION_COLUMN).parquet(root)
+        _write_full(rows, root)
     else:
-        write_banded(rows, f"{root}/{RUN_COLUMN}={from_id}", mode="overwrite")
+        folder = current_folder(rows.sparkSession, root)
+        write_banded(rows, f"{folder}/{RUN_COLUMN}={from_id}", mode="overwrite")
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
@@ -60,4 +102,4 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
             T.StructField(PARTITION_COLUMN, T.IntegerType()),
         ]
     )
-    return read_or_empty(spark, root, schema).drop(RUN_COLUMN)
+    return read_or_empty(spark, current_folder(spark, root), schema).drop(RUN_COLUMN)

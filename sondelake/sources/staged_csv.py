@@ -57,6 +57,34 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, glob: str) -> Da
     )
 
 
+def staged_rows(spark: SparkSession, path: str, table_schema: T.StructType, prefix: str) -> DataFrame:
+    """Rows of staged files with their origin (file, block_start, seq), the text of a line that does
+    not fit the schema in ``corrupt``, and the line as ``raw``.
+
+    ``seq`` rises within a file; write the rows before using it twice.
+    """
+    schema = _file_schema(table_schema)
+    rows = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField("corrupt", T.StringType())]))
+        .option("pathGlobFilter", _any_of(prefix))
+        .option("escape", '"')
+        .option("columnNameOfCorruptRecord", "corrupt")
+        .csv(path)
+    )
+    columns = [
+        F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        for f in schema.fields
+    ]
+    return rows.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("seq"),
+        *columns,
+        "corrupt",
+        F.coalesce("corrupt", F.to_csv(F.struct(*schema.names))).alias("raw"),
+    )
+
+
 def read_staged_headers(spark: SparkSession, path: str, glob: str = _any_of(HEADER_PREFIX)) -> DataFrame:
     """Header rows of the staged files below ``path`` whose name fits ``glob``."""
     return _read(spark, path, STAGED_HEADER_SCHEMA, glob)

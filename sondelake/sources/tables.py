@@ -13,9 +13,21 @@ LOAD_COLUMN = "load_id"
 _LOAD_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str) -> tuple:
+    """The file system that holds ``path``, and the path as it takes it."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(there)
+    return there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), there
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, there = _located(spark, path)
+    return system.exists(there)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens if it is not there."""
+    system, there = _located(spark, path)
+    system.delete(there, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

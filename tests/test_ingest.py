@@ -6,6 +6,7 @@ import pytest
 
 from sondelake.plans.ingest import ingest, ingest_records, pending_files
 from sondelake.plans.lake import Lake
+from sondelake.plans.staged import load_staged
 from sondelake.sources.blocks import read_records
 from sondelake.streaming.pickup import pickup
 from tests.soundings import header, level, put, uid
@@ -206,3 +207,18 @@ def test_checkpoints_do_not_share_load_ids(spark, tmp_path):
     pickup(lake, two, str(tmp_path / "c2"))
     assert sorted(r.uid[-4:] for r in lake.headers.read().collect()) == ["0100", "0200"]
     assert lake.headers.read().select("load_id").distinct().count() == 2
+
+
+def test_staged_files_of_one_folder(spark, tmp_path):
+    rows = ["A1,1930,8,26,9,10,1,,src,4,5,u1", "A1,1930,8,26,9,10,1,,src,4,5,u1", "A2,1930,8,x,9,10,1,,src,4,5,u2"]
+    folder = put(tmp_path / "in", "headers-a.CSV", "\n".join(rows) + "\n")
+    put(tmp_path / "in", "records-a.csv", '3,0,1,2,"",250,"",3,"",4,5,6,7,u1\n')
+    put(tmp_path / "in", "other.csv", "x\n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ledger = load_staged(lake, folder, folder, "s1")
+    assert times(ledger, "blocks", "headers", "levels") == [(0, 0, 1), (3, 1, 0)]
+    assert times(lake.headers.read(), "header_id", "uid", "p_src") == [(1, "u1", "")]
+    assert times(lake.levels.read(), "uid", "gph", "pflag") == [("u1", 250, "")]
+    assert times(lake.quarantine.read(), "scope", "reason") == [("header", "duplicate_uid"), ("header", "malformed")]
+    with pytest.raises(ValueError, match="finished"):
+        load_staged(lake, folder, folder, "s1")

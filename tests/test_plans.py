@@ -116,11 +116,27 @@ def test_checked_join_gives_one_result_whatever_its_strategy(spark, monkeypatch)
     small = write_scratch(spark.range(0, 50, 7).selectExpr("id AS k", "id * 2 AS v"), "small")
     for how in ("left", "inner", "left_semi", "left_anti"):
         expected = sorted(map(str, big.join(small, "k", how).collect()))
-        for options in ({}, {"limit": 3}, {"limit": 3, "spread_by": "id"}):
+        for options in ({}, {"limit": 3}):
             joined = join_checked(big, small, "k", how, **options)
             assert sorted(map(str, joined.collect())) == expected
     assert "Broadcast" in plan(join_checked(big, small, "k", "inner"))
-    assert joins.SALTS > 1
+
+
+def test_large_exclusion_moves_only_rows_that_may_match(spark):
+    big = write_scratch(spark.range(4000).selectExpr("id AS k", "repeat('text ', 20) AS body"), "big")
+    small = write_scratch(spark.range(0, 400, 10).selectExpr("id AS k"), "small")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = join_checked(big, small, "k", "left_anti", limit=0)
+        assert joined.count() == 3960
+        # The bits are as those of the written keys: next to no other row is marked.
+        marked = joins._marked(big, small, "k").where("_hit")
+        assert 40 <= marked.count() <= 60
+        # No body passes an exchange but below the filter on the mark.
+        text = plan(joined)
+        assert "bitmap_construct_agg" in text and text.count("LeftAnti") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_empty_anti_join_is_skipped(spark):

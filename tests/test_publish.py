@@ -11,11 +11,12 @@ from sondelake.plans.publish import NAMED_QUERIES, named_query, publish, publish
 from sondelake.schemas import (
     CONTROL_SCHEMA,
     HEADER_SCHEMA,
+    LEDGER_SCHEMA,
     LEVEL_SCHEMA,
     PUBLISHED_COLUMNS,
     seed_control,
 )
-from sondelake.sources.published import read_published, write_banded
+from sondelake.sources.published import read_published, write_banded, write_run
 
 JOB = "soundings"
 
@@ -38,6 +39,12 @@ def load(lake, load_id, *soundings):
     ]
     lake.levels.write_load(lake.spark.createDataFrame(levels, LEVEL_SCHEMA).coalesce(1), load_id)
     lake.headers.write_load(lake.spark.createDataFrame(headers, HEADER_SCHEMA).coalesce(1), load_id)
+    finish(lake, load_id)
+
+
+def finish(lake, load_id):
+    row = [(f"{load_id}.txt", 1, 1, 1)]
+    lake.ledger.write_load(lake.spark.createDataFrame(row, LEDGER_SCHEMA).coalesce(1), load_id)
 
 
 def heights(lake):
@@ -197,6 +204,9 @@ def test_whole_file_lake_joins_on_uid_alone(spark, tmp_path):
     # A second file whose header was refused: its levels belong to the first header.
     levels = [(3, 0, 1, 2, "", 700, "", 3, "", 4, 5, 6, 7, "USM0100", "l2")]
     lake.levels.write_load(spark.createDataFrame(levels, LEVEL_SCHEMA), "l2")
+    # A load that did not reach the ledger comes again under another id.
+    assert {r.gph for r in published_rows(lake, 1).collect()} == {250}
+    finish(lake, "l2")
     assert {r.gph for r in published_rows(lake, 1).collect()} == {250, 700}
 
 
@@ -212,3 +222,28 @@ def test_delta_prunes_level_folders_by_join(spark, lake):
     rows = published_rows(lake, 3, 2)
     assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
     assert [r.gph for r in rows.collect()] == [1500]
+
+
+def test_failing_full_run_leaves_the_old_rows(spark, lake):
+    publish(lake, JOB)
+    before = heights(lake)
+    rows = read_published(spark, lake.published_path)
+    with pytest.raises(Exception, match="broken"):
+        write_run(rows.withColumn("gph", F.raise_error(F.lit("broken")).cast("int")), lake.published_path, None)
+    assert heights(lake) == before
+    # Full runs switch folders; the last two are kept.
+    for _ in range(3):
+        lake.control.replace(lake.control.rows().withColumn("full_load", F.lit("Y")))
+        publish(lake, JOB)
+        assert heights(lake) == before
+    from pathlib import Path
+
+    assert len(list(Path(lake.published_path).glob("run-*"))) == 2
+
+
+def test_lake_keeps_its_rules(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    Lake(spark, root).check_rules(keep=True)
+    Lake(spark, root).check_rules()
+    with pytest.raises(ValueError, match="blocks"):
+        published_rows(Lake(spark, root, whole_files=True), 1)

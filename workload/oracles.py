@@ -259,6 +259,24 @@ ORACLES = {
         SELECT 'first' AS load_id, (SELECT count(*) FROM heads) AS blocks,
           (SELECT count(*) FROM accepted) AS headers,
           (SELECT count(*) FROM sized WHERE {LEVEL_OK}) AS levels""",
+    "spec_ingest": f"""WITH {LOADED},
+        h AS (SELECT uid, trim(substr(header,47,8)) AS p_src, trim(substr(header,38,8)) AS np_src,
+          try_cast(trim(substr(header,64,8)) AS int) AS lat, try_cast(trim(substr(header,56,7)) AS int) AS lon
+          FROM accepted),
+        l AS (SELECT uid, count(*) AS levels,
+          cast(sum(try_cast(trim(substr(line,35,5)) AS int)) AS bigint) AS sum_gph,
+          cast(sum(try_cast(trim(substr(line,17,5)) AS int)) AS bigint) AS sum_dpdp
+          FROM sized WHERE {LEVEL_OK} GROUP BY uid)
+        SELECT uid, p_src, np_src, lat, lon, levels, sum_gph, sum_dpdp FROM h JOIN l USING (uid)""",
+    "staged_load": """WITH h AS (
+          SELECT cast(CASE WHEN o_orderkey%7 = 3 THEN o_orderkey - o_orderkey%64 ELSE o_orderkey END AS varchar) AS uid,
+            o_orderkey%31 = 1 AS no_year FROM orders),
+        l AS (SELECT cast(l_orderkey AS varchar) AS uid, l_orderkey%29 = 3 AS wide FROM lineitem)
+        SELECT 'header' AS kind, uid, cast(1 AS bigint) AS rows FROM h WHERE NOT no_year GROUP BY uid
+        UNION ALL SELECT 'header duplicate_uid', uid, count(*) - 1 FROM h WHERE NOT no_year GROUP BY uid HAVING count(*) > 1
+        UNION ALL SELECT 'header null:year', uid, count(*) FROM h WHERE no_year GROUP BY uid
+        UNION ALL SELECT 'level', uid, count(*) FROM l WHERE NOT wide GROUP BY uid
+        UNION ALL SELECT 'level width:pflag', uid, count(*) FROM l WHERE wide GROUP BY uid""",
     "incremental_pickup": f"""WITH {LOADED}
         SELECT header_id, uid, try_cast(trim(substr(header,33,4)) AS int) AS numlev FROM accepted""",
     "published_runs": f"""WITH {LOADED},

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from sondelake.functions.bands import PARTITION_COLUMN, open_band, partition_band
 from sondelake.functions.fixedwidth import csv_line
-from sondelake.functions.layout import HEADER_FIELDS, HEADER_LAYOUT, LEVEL_LAYOUT, load_layout
+from sondelake.functions.layout import (
+    HEADER_FIELDS,
+    HEADER_LAYOUT,
+    LEVEL_FIELDS,
+    LEVEL_LAYOUT,
+    Layout,
+    load_layout,
+)
 from sondelake.functions.text import (
     datetime_text,
     double_quotes,
@@ -35,6 +42,7 @@ from sondelake.operators.scratch import scratch_path, write_scratch
 from sondelake.plans.ingest import ingest
 from sondelake.plans.lake import Lake
 from sondelake.plans.publish import publish
+from sondelake.plans.staged import load_staged
 from sondelake.schemas import (
     CONTROL_NOT_NULL,
     CONTROL_TEXT_WIDTHS,
@@ -44,7 +52,12 @@ from sondelake.schemas import (
 )
 from sondelake.sources.blocks import read_blocks
 from sondelake.sources.published import read_published, write_banded
-from sondelake.sources.staged_csv import STAGED_HEADER_SCHEMA, read_staged_headers, write_staged
+from sondelake.sources.staged_csv import (
+    STAGED_HEADER_SCHEMA,
+    STAGED_LEVEL_SCHEMA,
+    read_staged_headers,
+    write_staged,
+)
 from sondelake.streaming.pickup import pickup
 from workload import inputs
 from workload.inputs import once, table
@@ -65,8 +78,8 @@ def level_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_levels(lines)
 
 
-def spec_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header decode driven by a layout spec read from JSON."""
+def _layout_from_spec(spark: SparkSession, kind: str, fields) -> Layout:
+    """The fields written as a JSON layout spec and read back from it."""
     rows = [
         {
             "column_name": f.name,
@@ -75,12 +88,17 @@ def spec_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
             "column_type": f.type,
             "column_order": f.order,
         }
-        for f in HEADER_FIELDS
+        for f in fields
     ]
     path = scratch_path(spark, "spec")
     spec = json.dumps({"record_format": rows}, indent=2)
     spark.createDataFrame([(spec,)], "value string").coalesce(1).write.text(path)
-    layout = load_layout(spark, path, "HEAD")
+    return load_layout(spark, path, kind)
+
+
+def spec_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header decode driven by a layout spec read from JSON."""
+    layout = _layout_from_spec(spark, "HEAD", HEADER_FIELDS)
     blocks = inputs.header_blocks(spark, sf_dir)
     return decode_headers(blocks, layout).drop("file", "block_start", "seq", "header")
 
@@ -410,6 +428,60 @@ def _loaded(spark: SparkSession, sf_dir: str) -> Lake:
     return once(spark, sf_dir, "loaded", make=make)
 
 
+def _exchanged(fields, one: str, other: str):
+    """The fields with the places of two of them exchanged."""
+    places = {f.name: (f.start, f.end) for f in fields}
+    places[one], places[other] = places[other], places[one]
+    return tuple(f._replace(start=places[f.name][0], end=places[f.name][1]) for f in fields)
+
+
+def spec_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load driven by layout specs with moved columns: headers, and sums over their levels."""
+    header_fields = _exchanged(_exchanged(HEADER_FIELDS, "LAT", "LON"), "P_SRC", "NP_SRC")
+    lake = Lake(
+        spark,
+        scratch_path(spark, "lake"),
+        header_layout=_layout_from_spec(spark, "HEAD", header_fields),
+        level_layout=_layout_from_spec(spark, "DATA", _exchanged(LEVEL_FIELDS, "GPH", "DPDP")),
+    )
+    ingest(lake, inputs.sounding_files(spark, sf_dir, messy=True), "first")
+    sums = lake.levels.read().groupBy("uid").agg(
+        F.count("*").alias("levels"), F.sum("gph").alias("sum_gph"), F.sum("dpdp").alias("sum_dpdp")
+    )
+    headers = lake.headers.read().select("uid", "p_src", "np_src", "lat", "lon")
+    return headers.join(sums, "uid")
+
+
+def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged header and level files loaded into a lake: rows per uid in its tables and in quarantine.
+
+    Some headers share a uid or miss their year, some levels have a flag that is too wide.
+    """
+    headers = decode_headers(inputs.header_blocks(spark, sf_dir)).withColumns(
+        {
+            "uid": F.expr("cast(if(seq % 7 = 3, seq - seq % 64, seq) as string)"),
+            "year": F.expr("if(seq % 31 = 1, null, year)"),
+            "file": F.concat("file", F.lit(".txt")),
+        }
+    )
+    levels = inputs.level_table(spark, sf_dir).withColumns(
+        {
+            "pflag": F.expr("if(cast(uid as long) % 29 = 3, 'wide', pflag)"),
+            "file": F.expr("concat('f', cast(uid as long) % 16, '.txt')"),
+        }
+    )
+    folders = scratch_path(spark, "staged-headers"), scratch_path(spark, "staged-levels")
+    write_staged(headers, STAGED_HEADER_SCHEMA, folders[0], "file")
+    write_staged(levels, STAGED_LEVEL_SCHEMA, folders[1], "file")
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    load_staged(lake, *folders, "staged")
+    loaded = lake.headers.read().select(F.lit("header").alias("kind"), "uid").union(
+        lake.levels.read().select(F.lit("level"), "uid")
+    )
+    refused = lake.quarantine.read().select(F.concat_ws(" ", "scope", "reason"), "uid")
+    return loaded.union(refused).groupBy("kind", "uid").agg(F.count("*").alias("rows"))
+
+
 def _grown(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake filled by two pickups of messy files, with a full and a delta publishing run."""
 
@@ -487,7 +559,7 @@ QUERIES = {
         partitioned_roundtrip,
         control_select, control_first_row, control_advance, control_load_mode,
         route_files, datetime_texts, field_texts, error_rows,
-        ingest_headers, ingest_levels, ingest_quarantine, load_counts,
+        ingest_headers, ingest_levels, ingest_quarantine, load_counts, spec_ingest, staged_load,
         incremental_pickup, published_runs, control_after_runs, processed_ledger,
     )
 }
