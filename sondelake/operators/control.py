@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sondelake.schemas import CONTROL_SCHEMA
-from sondelake.sources.tables import read_or_empty
+from sondelake.sources.tables import delete_path, read_or_empty
 
 # Flags and range column understood in a control row.
 SKIP = "Y"
@@ -20,6 +20,8 @@ DELTA_MODE = "delta"
 INVALID_MODE = "invalid"
 
 _VERSION = "version"
+#: Versions kept, for readers that are still at an older one and for looking back.
+KEPT_VERSIONS = 20
 
 
 def runnable(control: DataFrame, etl_name: str) -> DataFrame:
@@ -94,6 +96,7 @@ class ControlTable:
         target = f"{self.path}/{_VERSION}={self.version() + 1}"
         # One row per job: a single small file, committed with one rename.
         rows.coalesce(1).write.mode("errorifexists").parquet(target)
+        delete_path(self.spark, f"{self.path}/{_VERSION}={self.version() - KEPT_VERSIONS}")
 
     def current(self, etl_name: str) -> Row | None:
         """The job's control row with its load mode, or None if the job must not run."""

@@ -55,8 +55,9 @@ def files_with_conflicts(
 
     Only uids found in several files matter. Each round accepts every file that comes first
     for all its open uids and refuses the files sharing a uid with an accepted one, until no
-    file is open. All steps are aggregates or joins on distinct pairs; no pairs of files are
-    ever formed.
+    file is open; the number of rounds follows the longest chain of files in conflict. All steps
+    are aggregates or joins on distinct pairs; no pairs of files are ever formed. A round writes
+    what it settled, so that plans do not grow with the rounds.
     """
     per_file = keys.groupBy("uid", "file").agg(F.count("*").alias("n"))
     claims = write_scratch(per_file, "claims")
@@ -85,21 +86,15 @@ def files_with_conflicts(
         leaders = open_claims.groupBy("uid").agg(F.min("file").alias("file"))
         led = leaders.groupBy("file").agg(F.count("*").alias("led"))
         total = open_claims.groupBy("file").agg(F.count("*").alias("total"))
-        accepted = write_scratch(
-            led.join(total, "file").where("led = total").select("file"), "accepted"
-        )
-        gone = write_scratch(
-            join_checked(leaders, accepted, "file", "left_semi").select(
-                "uid", F.col("file").alias("winner")
-            ),
-            "won",
-        )
-        lost = join_checked(open_claims, gone, "uid", "inner")
-        lost = write_scratch(lost.where("file <> winner").select("file").distinct(), "lost")
-        refused = refused.union(lost)
-        done = write_scratch(accepted.union(lost), "done")
+        accepted = led.join(total, "file").where("led = total").select("file")
+        gone = leaders.join(accepted, "file", "left_semi").select("uid", F.col("file").alias("winner"))
+        lost = join_checked(open_claims, write_scratch(gone, "won"), "uid", "inner")
+        lost = lost.where("file <> winner").select("file").distinct()
+        settled = accepted.withColumn("lost", F.lit(False)).union(lost.withColumn("lost", F.lit(True)))
+        settled = write_scratch(settled, "settled")
+        refused = write_scratch(refused.union(settled.where("lost").select("file")), "refused")
         open_claims = write_scratch(
-            join_checked(open_claims, done, "file", "left_anti"), "open"
+            join_checked(open_claims, settled.select("file"), "file", "left_anti"), "open"
         )
     return refused
 

@@ -55,25 +55,28 @@ def quoted(name: str) -> str:
 
 def control_sql(table: str, etl_name: str) -> str:
     name = etl_name.replace("'", "''")
-    return f"SELECT * FROM {table} WHERE etl_name = '{name}' AND skip_execution <> 'Y'"
+    return (
+        f"SELECT * FROM {quoted(table)} "
+        f"WHERE {quoted('etl_name')} = '{name}' AND {quoted('skip_execution')} <> 'Y'"
+    )
 
 
 def max_header_sql(header_table: str) -> str:
-    return f"SELECT max(header_id) AS max_head FROM {header_table}"
+    return f"SELECT max({quoted('header_id')}) AS {quoted('max_head')} FROM {quoted(header_table)}"
 
 
 def published_sql(header_table: str, level_table: str, hi: int, lo: int | None, inclusive: bool) -> str:
     """Join of both tables inside the database, with the header id kept to split the read by."""
-    columns = ", ".join(
-        [f"h.{c}" for c in PUBLISHED_HEADER_COLUMNS] + [f"l.{c}" for c in PUBLISHED_LEVEL_COLUMNS]
-    )
+    names = [f"h.{c}" for c in PUBLISHED_HEADER_COLUMNS] + [f"l.{c}" for c in PUBLISHED_LEVEL_COLUMNS]
+    header_id = quoted("h.header_id")
     sql = (
-        f"SELECT h.header_id, {columns} FROM {header_table} h "
-        f"JOIN {level_table} l ON h.uid = l.uid WHERE h.header_id <= {int(hi)}"
+        f"SELECT {header_id}, {', '.join(map(quoted, names))} FROM {quoted(header_table)} {quoted('h')} "
+        f"JOIN {quoted(level_table)} {quoted('l')} ON {quoted('h.uid')} = {quoted('l.uid')} "
+        f"WHERE {header_id} <= {int(hi)}"
     )
     if lo is None:
         return sql
-    return f"{sql} AND h.header_id {'>=' if inclusive else '>'} {int(lo)}"
+    return f"{sql} AND {header_id} {'>=' if inclusive else '>'} {int(lo)}"
 
 
 def read_published(

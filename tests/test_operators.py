@@ -218,14 +218,14 @@ def test_staged_csv_keeps_quotes_blanks_and_nulls(spark, tmp_path):
 
 
 def test_jdbc_texts():
-    assert jdbc.subquery(jdbc.max_header_sql("public.h"), "m") == "(SELECT max(header_id) AS max_head FROM public.h) m"
+    assert jdbc.subquery(jdbc.max_header_sql("public.h"), "m") == '(SELECT max("header_id") AS "max_head" FROM "public"."h") m'
     assert jdbc.control_sql("c", "it's") == (
-        "SELECT * FROM c WHERE etl_name = 'it''s' AND skip_execution <> 'Y'"
+        """SELECT * FROM "c" WHERE "etl_name" = 'it''s' AND "skip_execution" <> 'Y'"""
     )
     full = jdbc.published_sql("h", "l", 123, None, False)
-    assert full.endswith("ON h.uid = l.uid WHERE h.header_id <= 123")
-    assert jdbc.published_sql("h", "l", 123, 100, False).endswith("<= 123 AND h.header_id > 100")
-    assert jdbc.published_sql("h", "l", 123, 100, True).endswith("<= 123 AND h.header_id >= 100")
+    assert full.endswith('ON "h"."uid" = "l"."uid" WHERE "h"."header_id" <= 123')
+    assert jdbc.published_sql("h", "l", 123, 100, False).endswith('<= 123 AND "h"."header_id" > 100')
+    assert jdbc.published_sql("h", "l", 123, 100, True).endswith('<= 123 AND "h"."header_id" >= 100')
     assert jdbc.quoted('a.b"c') == '"a"."b""c"'
     with pytest.raises(ValueError):
         jdbc.published_sql("h", "l", "1; drop", None, False)
