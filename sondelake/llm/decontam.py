@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sondelake.llm import words
+from sondelake.llm import members, words
 from sondelake.operators.scratch import write_scratch
 
 WIDTH = 13
-#: Words of benchmark text whose patterns are searched at once; more are searched in further passes.
+#: Words of benchmark text whose patterns are searched at once, a long word counting as one for each
+#: `WORD_BYTES`; more are searched in further passes.
 PASS_WORDS = 500_000
+WORD_BYTES = 32
 #: Words of a document that one search position runs through.
 STRETCH = 512
 
@@ -126,18 +128,19 @@ def find(searchers: list[Matcher], texts: pa.Array) -> tuple[np.ndarray, list[np
     return np.diff(first), marks, items
 
 
-#: Columns that a pass adds to the documents.
-_N_WORDS, _HITS, _ITEMS = "decontam_n_words", "decontam_hits", "decontam_items"
+#: Columns that a pass adds to the documents, if no other is called so: words, hits, items.
+_ADDED = ("decontam_n_words", "decontam_hits", "decontam_items")
 _built: dict[str, list[Matcher]] = {}
 
 
-def _pass(docs: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
-    """Add what one pass of patterns finds to what earlier passes found."""
+def _pass(docs: DataFrame, items: list[tuple[str, str]], added: list[str]) -> DataFrame:
+    """Add what one pass of patterns finds to what earlier passes found in the ``added`` columns."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
     key = uuid.uuid4().hex
-    own = [c for c in docs.columns if c not in (_N_WORDS, _HITS, _ITEMS)]
-    schema = T.StructType(docs.select(own).schema.fields)
-    schema = schema.add(_N_WORDS, "long").add(_HITS, T.ArrayType(T.LongType())).add(_ITEMS, T.ArrayType(T.StringType()))
+    own = [field for field in docs.schema.fields if field.name not in added]
+    kinds = (T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType()))
+    schema = T.StructType([*own, *map(T.StructField, added, kinds)])
+    _, hits_of, items_of = added
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _built:
@@ -145,11 +148,11 @@ def _pass(docs: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
             _built[key] = matchers(shared.value)
         for batch in words.text_chunks(batches):
             n_words, hits, found = find(_built[key], batch.column("text"))
-            if _HITS in batch.schema.names:
-                hits = [np.union1d(a, b).astype(np.int64) for a, b in zip(hits, batch.column(_HITS).to_pylist())]
-                found = [a | set(b) for a, b in zip(found, batch.column(_ITEMS).to_pylist())]
+            if hits_of in batch.schema.names:
+                hits = [np.union1d(a, b).astype(np.int64) for a, b in zip(hits, batch.column(hits_of).to_pylist())]
+                found = [a | set(b) for a, b in zip(found, batch.column(items_of).to_pylist())]
             columns = [
-                *(batch.column(c) for c in own),
+                *batch.columns[: len(own)],
                 pa.array(n_words, pa.int64()),
                 pa.array(hits, pa.list_(pa.int64())),
                 pa.array([sorted(names) for names in found], pa.list_(pa.string())),
@@ -159,31 +162,39 @@ def _pass(docs: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
     return docs.mapInArrow(rows, schema)
 
 
-def _passes(benchmark: DataFrame) -> list[list[tuple[str, str]]]:
-    """The benchmark's items in lists of at most `PASS_WORDS` words (a longer item comes alone)."""
-    lists: list[list[tuple[str, str]]] = [[]]
+def _passes(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    """The benchmark's items in lists of at most `PASS_WORDS` words (a longer item comes alone).
+
+    A stated query set, read row by row: one list at a time is with the driver.
+    """
+    text = F.col("text")
+    n_words = F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    size = F.greatest(n_words, F.ceil(F.octet_length(text) / WORD_BYTES))
+    rows = benchmark.where("text is not null and item_id is not null")
+    rows = rows.select(F.col("item_id").cast("string").alias("item"), "text", size.alias("n"))
+    items: list[tuple[str, str]] = []
     held = 0
-    # A stated query set, read row by row; each list is released once it is broadcast.
-    for row in benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("string").alias("item"), "text").toLocalIterator():
-        size = row.text.count(" ") + 1
-        if lists[-1] and held + size > PASS_WORDS:
-            lists.append([])
-            held = 0
-        lists[-1].append((row.item, row.text))
-        held += size
-    return lists
-
-
-def _searched(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents with their words, the positions of words hit, and the items found."""
+    for row in rows.toLocalIterator():
+        if items and held + row.n > PASS_WORDS:
+            yield items
+            items, held = [], 0
+        items.append((row.item, row.text))
+        held += row.n
+    yield items
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Documents with their words, the positions of words hit, and the items found, and the names of
+    these three columns."""
+    added = [members.spare_name(docs.columns, name) for name in _ADDED]
     for k, items in enumerate(_passes(benchmark)):
-        docs = _pass(write_scratch(docs, "decontam") if k else docs, items)
-    return docs
+        docs = _pass(write_scratch(docs, "decontam") if k else docs, items, added)
+    return docs, added
 
 
-def _contaminated() -> Column:
-    n_hit = F.size(_HITS)
-    return (n_hit > 0) & (20 * n_hit >= F.col(_N_WORDS))
+def _contaminated(added: list[str]) -> Column:
+    n_words, hits, _ = added
+    return (F.size(hits) > 0) & (20 * F.size(hits) >= F.col(n_words))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -196,16 +207,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     count, an id once. Without documents the result is empty, without items nothing is hit.
     Nothing is shuffled; a benchmark of more than `PASS_WORDS` words takes further passes.
     """
-    return _searched(docs.select("doc_id", "text"), benchmark).select(
+    searched, added = _searched(docs.select("doc_id", "text"), benchmark)
+    n_words, hits, items = added
+    return searched.select(
         "doc_id",
-        F.col(_N_WORDS).alias("n_words"),
-        F.size(_HITS).cast("long").alias("n_hit"),
-        F.size(_ITEMS).cast("long").alias("n_items"),
-        F.sha2(F.array_join(_ITEMS, ","), 256).alias("items_sha256"),
-        _contaminated().alias("contaminated"),
+        F.col(n_words).alias("n_words"),
+        F.size(hits).cast("long").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        _contaminated(added).alias("contaminated"),
     )
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    return _searched(docs, benchmark).where(~_contaminated()).select(docs.columns)
+    searched, added = _searched(docs, benchmark)
+    return searched.where(~_contaminated(added)).select(docs.columns)

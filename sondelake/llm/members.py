@@ -20,6 +20,14 @@ BITS = 1 << 25
 _BYTES_PER_PART = 4096
 
 
+def spare_name(taken: Iterable[str], name: str) -> str:
+    """``name``, or a longer one if a column is called so already."""
+    known = {column.lower() for column in taken}
+    while name in known:
+        name += "_"
+    return name
+
+
 def bit_of(*keys: str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BITS))
 
@@ -48,11 +56,12 @@ def is_set(bits: np.ndarray, column: pa.Array) -> np.ndarray:
 
 def passing(rows: DataFrame, wanted: Broadcast, which: bool, *keys: str) -> DataFrame:
     """The rows whose bit is set, or those whose bit is not, with their columns as they are."""
-    marked = rows.withColumn("filter_bit", bit_of(*keys))
+    name = spare_name(rows.columns, "filter_bit")
+    marked = rows.withColumn(name, bit_of(*keys))
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = is_set(wanted.value, batch.column("filter_bit"))
+            hit = is_set(wanted.value, batch.column(name))
             yield batch.filter(pa.array(hit == which)).select(range(batch.num_columns - 1))
 
     return marked.mapInArrow(kept, rows.schema)

@@ -80,7 +80,8 @@ def mix(
     null id. Of equal keys the smaller id, then the smaller size and text hash goes first; rows
     equal in all of these may swap places. The last document drawn is taken in part, so a source's
     taken words are its target rounded. Repeated rows count as so many documents. An empty
-    table gives an empty result. Reruns agree, as keys depend on the id alone.
+    table gives an empty result. Reruns agree, as keys depend on the id alone. A ``weight`` of the
+    caller's that is null or not above 0 puts a document behind all others of its source.
 
     A source may hold any share of the rows: its documents are cut into about the square root of
     their number of key ranges, sizes are summed per range first, and each range is ordered alone.
@@ -113,7 +114,7 @@ def mix(
         slim.join(budget, F.col("source").eqNullSafe(F.col("of")), "left")
         .withColumn("epochs", F.when(full, F.least(F.floor(F.col("words") / F.col("source_size")), F.lit(most))).otherwise(0))
         .withColumn("left_over", F.col("words") - F.col("epochs") * F.col("source_size"))
-        .withColumn("key", -F.log(uniform(F.col("doc_id"))) / F.col("weight"))
+        .withColumn("key", F.when(F.col("weight") > 0, -F.log(uniform(F.col("doc_id"))) / F.col("weight")).otherwise(F.lit(float("inf"))))
         .withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges")), F.col("ranges") - 1))
     )
     per_range = keyed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))

@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sondelake.llm import decontam, mixing, ngram_join, secret_scan, substring
@@ -128,11 +129,46 @@ def test_decontamination_of_short_items_in_passes(spark, monkeypatch):
             ],
             key=str,
         )
-    kept = decontam.without_contaminated(docs, bench)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+    for extra in ("kept", "decontam_hits", "Filter_Bit"):
+        named = docs.withColumnRenamed("n_words", extra)
+        kept = decontam.without_contaminated(named, bench)
+        assert kept.columns == named.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert decontam.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    rows = corpus()
+    for extra in ("filter_bit", "Filter_Bit", "component_id"):
+        docs = frame(spark, rows).withColumnRenamed("n_words", extra)
+        kept = ngram_join.one_of_each(docs)
+        label = plain_components(rows, 5, 80)
+        assert kept.columns == docs.columns and {r[3] for r in kept.collect()} == {1}
+        assert {r.doc_id for r in kept.collect()} == {i for i in label if i is None or label[i][1] == i}
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
+def test_stages_of_odd_tables(spark, stage):
+    prepare(spark)
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    odd = [(1, None, None, None, None), (None, "no id", "en", "s", 5), (2, "", "en", None, 0), (3, "a b c", None, "s", 5), (3, "a b c", None, "s", 5), (4, "wort " * 50_000, "de", "s", 250_000)]
+    docs = spark.createDataFrame(odd, documents.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    name, function = stage
+    found = function(spark, docs, SF_DIR)
+    assert name == "mixture" or found.schema.names == docs.columns
+    gone = {"language": 2}.get(name, 0)
+    assert len(found.collect()) == len(odd) - gone
+    assert function(spark, docs.limit(0), SF_DIR).collect() == []
+
+
+def test_mixing_with_weights_of_the_caller(spark):
+    rows = [(k, "a b", "s", k) for k in range(8)]
+    weight = F.when(F.col("n_words") < 5, F.lit(1.0)).when(F.col("n_words") == 5, F.lit(0.0))
+    found = mixing.mix(frame(spark, [*rows, (9, "a b c d", "t", 1)]), shares=(1, 2), most=3, weight=weight).collect()
+    taken = {r.doc_id: r.taken for r in found}
+    assert len(found) == 9 and taken[9] == 12 and sum(taken.values()) == 20
+    assert all(taken[k] == 0 for k in (5, 6, 7) if sum(taken[j] for j in range(5)) < 10)
+
+
 def test_mixing_meets_its_targets(spark):
     rows = corpus() + [(k, "a b c", "big", 1) for k in range(100, 140)] + [(100, "a b c", "big", 1)]
     found = mixing.mix(frame(spark, rows)).collect()

@@ -249,3 +249,30 @@ def test_odd_rows(spark, odd, operator):
         assert {r.lang_pred for r in rows if r.doc_id in (1, 2, 3, 7)} == {"und"} and first.score == 0
     if operator is repetition.repetition_rules:
         assert first.n_words == 0 and first.base_failed
+
+
+def test_odd_rows_of_tokens(spark, odd):
+    pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = token_counts.token_counts(odd, path, 2048).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD)
+    assert {(r.n_bytes, r.n_tokens, r.over_limit) for r in rows if r.doc_id in (1, 2)} == {(0, 0, False)}
+    assert next(r for r in rows if r.doc_id == 5).over_limit
+    assert token_counts.token_counts(odd.limit(0), path, 2048).collect() == []
+
+
+def test_odd_urls(spark):
+    urls = [(1, None), (1, None), (2, ""), (2, "://"), (3, "http://" + "casino" * 3000 + ".com/" + "x" * 20_000), (None, "a://b")]
+    pages = spark.createDataFrame([(i, u, "v", 2) for i, u in urls], "page_id long, url string, verdict string, score int")
+    rows = url_filter.judge(pages).collect()
+    assert Counter(r.page_id for r in rows) == Counter(i for i, _ in urls)
+    assert all(r.verdict == "allow" and r.rule is None for r in rows if r.page_id in (1, 2))
+    assert next(r.verdict for r in rows if r.page_id == 3) == "block"
+    assert url_filter.judge(pages.limit(0)).collect() == []
+
+
+def test_language_without_labels(spark, odd):
+    rows = langid.identify(odd.drop("lang").selectExpr("*", "cast(null as string) as lang")).collect()
+    assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)} and len(rows) == len(ODD)
