@@ -11,6 +11,7 @@ from workload.inputs import (
     RAW_HEADER,
     RAW_LEVEL,
     SOUNDING_HEADER,
+    SOUNDINGS_PER_FILE,
 )
 
 # Rendered lines of orders and lineitem.
@@ -108,6 +109,24 @@ sized AS (
 """
 LEVEL_OK = "NOT coalesce(try_cast(trim(substr(line,17,5)) AS int) IS NULL AND trim(substr(line,17,5)) <> '', false)"
 
+# Of the files f with uids in keys, those accepted one after the other.
+ACCEPTED_FILES = """
+twice AS (SELECT DISTINCT f FROM (SELECT f, uid FROM keys GROUP BY f, uid HAVING count(*) > 1)),
+shared AS (SELECT uid FROM keys GROUP BY uid HAVING count(DISTINCT f) > 1),
+pairs AS (SELECT DISTINCT a.f AS f, b.f AS g FROM keys a JOIN shared USING (uid)
+  JOIN keys b USING (uid) WHERE b.f < a.f),
+earlier AS (SELECT f, list(g) AS gs FROM pairs GROUP BY f),
+files AS (SELECT f, row_number() OVER (ORDER BY f) AS i, coalesce(gs, []) AS gs,
+    twice.f IS NOT NULL AS is_twice
+  FROM (SELECT DISTINCT f FROM keys) LEFT JOIN earlier USING (f) LEFT JOIN twice USING (f)),
+walk(i, accepted) AS (
+  SELECT CAST(0 AS bigint), CAST([] AS bigint[])
+  UNION ALL
+  SELECT files.i, CASE WHEN is_twice OR list_has_any(accepted, gs) THEN accepted
+    ELSE list_append(accepted, f) END
+  FROM walk JOIN files ON files.i = walk.i + 1)
+"""
+
 SOME_CUT = """CASE WHEN o_orderkey%97 = 5 THEN substr(header,1,70) WHEN o_orderkey%89 = 7
 THEN concat(substr(header,1,32),'    ',substr(header,37)) ELSE header END"""
 SOME_WRONG = """CASE WHEN o_orderkey%31 = 1 THEN concat(substr(header,1,13),'    ',substr(header,18))
@@ -178,23 +197,10 @@ ORACLES = {
           SELECT o_orderkey, o_custkey, row_number() OVER (
             PARTITION BY o_custkey ORDER BY o_orderkey % 16, o_orderkey) AS r FROM orders)
         SELECT o_orderkey AS seq FROM k WHERE r = 1 AND o_custkey >= 10""",
-    "uid_file_reject": """WITH RECURSIVE keys AS (
+    "uid_file_reject": f"""WITH RECURSIVE keys AS (
           SELECT o_orderkey % 64 AS f, CASE WHEN o_orderkey%997 = 0 THEN o_orderkey+1
             WHEN o_orderkey%4999 = 3 THEN o_orderkey+64 ELSE o_orderkey END AS uid FROM orders),
-        twice AS (SELECT DISTINCT f FROM (SELECT f, uid FROM keys GROUP BY f, uid HAVING count(*) > 1)),
-        shared AS (SELECT uid FROM keys GROUP BY uid HAVING count(DISTINCT f) > 1),
-        pairs AS (SELECT DISTINCT a.f AS f, b.f AS g FROM keys a JOIN shared USING (uid)
-          JOIN keys b USING (uid) WHERE b.f < a.f),
-        earlier AS (SELECT f, list(g) AS gs FROM pairs GROUP BY f),
-        files AS (SELECT f, row_number() OVER (ORDER BY f) AS i, coalesce(gs, []) AS gs,
-            twice.f IS NOT NULL AS is_twice
-          FROM (SELECT DISTINCT f FROM keys) LEFT JOIN earlier USING (f) LEFT JOIN twice USING (f)),
-        walk(i, accepted) AS (
-          SELECT CAST(0 AS bigint), CAST([] AS bigint[])
-          UNION ALL
-          SELECT files.i, CASE WHEN is_twice OR list_has_any(accepted, gs) THEN accepted
-            ELSE list_append(accepted, f) END
-          FROM walk JOIN files ON files.i = walk.i + 1)
+        {ACCEPTED_FILES}
         SELECT concat('f', lpad(cast(f AS varchar), 3, '0')) AS file FROM files
         WHERE NOT list_contains((SELECT accepted FROM walk ORDER BY i DESC LIMIT 1), f)""",
     "serial_numbers": """SELECT 1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS header_id,
@@ -268,6 +274,22 @@ ORACLES = {
           cast(sum(try_cast(trim(substr(line,17,5)) AS int)) AS bigint) AS sum_dpdp
           FROM sized WHERE {LEVEL_OK} GROUP BY uid)
         SELECT uid, p_src, np_src, lat, lon, levels, sum_gph, sum_dpdp FROM h JOIN l USING (uid)""",
+    "ingest_whole_files": f"""WITH RECURSIVE {MESSY},
+        blocks AS (SELECT b, b // {SOUNDINGS_PER_FILE} AS f, {HEADER_UID} AS uid, length(header) <> 71 AS bad FROM heads),
+        cuts AS (SELECT f, min(b) AS cutoff FROM blocks WHERE bad GROUP BY f),
+        placed AS (SELECT blocks.*, coalesce(b >= cutoff, false) AS lost FROM blocks LEFT JOIN cuts USING (f)),
+        keys AS (SELECT f, uid FROM placed WHERE NOT lost),
+        {ACCEPTED_FILES},
+        accepted AS (SELECT unnest(files) AS f FROM (SELECT accepted AS files FROM walk ORDER BY i DESC LIMIT 1)),
+        sized AS (SELECT f, {LEVEL_OK} AS ok FROM gated JOIN placed USING (b) WHERE NOT lost AND length(line) = 52),
+        wrong AS (SELECT DISTINCT f FROM sized WHERE NOT ok),
+        outcome AS (
+          SELECT 'block after_bad_header' AS kind, f FROM placed WHERE lost
+          UNION ALL SELECT CASE WHEN f IN (SELECT f FROM accepted) THEN 'header' ELSE 'header_file file_refused' END, f FROM keys
+          UNION ALL SELECT CASE WHEN f NOT IN (SELECT f FROM wrong) THEN 'level' WHEN ok THEN 'level_file file_refused'
+            ELSE 'level_file malformed:gph' END, f FROM sized)
+        SELECT kind, concat('f', lpad(cast(f AS varchar), 8, '0'), '.txt') AS file, count(*) AS rows
+        FROM outcome GROUP BY kind, f""",
     "staged_load": """WITH h AS (
           SELECT cast(CASE WHEN o_orderkey%7 = 3 THEN o_orderkey - o_orderkey%64 ELSE o_orderkey END AS varchar) AS uid,
             o_orderkey%31 = 1 AS no_year FROM orders),

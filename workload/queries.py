@@ -39,7 +39,7 @@ from sondelake.operators.quality import (
     wide_name,
 )
 from sondelake.operators.scratch import scratch_path, write_scratch
-from sondelake.plans.ingest import ingest
+from sondelake.plans.ingest import ingest, ingest_records
 from sondelake.plans.lake import Lake
 from sondelake.plans.publish import publish
 from sondelake.plans.staged import load_staged
@@ -452,6 +452,17 @@ def spec_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers.join(sums, "uid")
 
 
+def ingest_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load by the file-at-a-time rules: rows per file in the lake's tables and in quarantine."""
+    lake = Lake(spark, scratch_path(spark, "lake"), whole_files=True)
+    ingest_records(lake, inputs.sounding_records(spark, sf_dir, inputs.SOUNDINGS_PER_FILE), "first")
+    loaded = lake.headers.read().select(F.lit("header").alias("kind"), "source_file").union(
+        lake.levels.read().select(F.lit("level"), "source_file")
+    )
+    refused = lake.quarantine.read().select(F.concat_ws(" ", "scope", "reason"), "source_file")
+    return loaded.union(refused).groupBy("kind", F.col("source_file").alias("file")).agg(F.count("*").alias("rows"))
+
+
 def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged header and level files loaded into a lake: rows per uid in its tables and in quarantine.
 
@@ -559,7 +570,7 @@ QUERIES = {
         partitioned_roundtrip,
         control_select, control_first_row, control_advance, control_load_mode,
         route_files, datetime_texts, field_texts, error_rows,
-        ingest_headers, ingest_levels, ingest_quarantine, load_counts, spec_ingest, staged_load,
+        ingest_headers, ingest_levels, ingest_quarantine, load_counts, spec_ingest, ingest_whole_files, staged_load,
         incremental_pickup, published_runs, control_after_runs, processed_ledger,
     )
 }
