@@ -26,27 +26,35 @@ CHARS_PER_ROW = 2048
 #: Symbols of a language's sample; less when there are so many languages that all would exceed `TOTAL`.
 SAMPLE_SYMBOLS = 16384
 TOTAL_SYMBOLS = 1 << 19
-#: Different letters told apart; rarer ones share one symbol that no sample holds.
-MAX_LETTERS = 125
 #: Texts are parsed in stretches of this many symbols, each from a fresh phrase.
 STRETCH = 128
 
 SCHEMA = "doc_id long, lang_pred string, score double, n_letters long, bits double"
 
 _BLANK = 0
-# A step holds the next state and, above it, the number of phrases that end with it.
-_SHIFT = 29
-_PHRASE = np.int32(1 << _SHIFT)
-_STATE = np.int32((1 << _SHIFT) - 1)
+#: Places tried for a state's transitions before the search moves on; holes are left to states with one transition.
+_TRIES = 16
+
+
+@dataclass
+class Automaton:
+    """Transitions of one language in one array: that of a state by a symbol is at ``base[state] + symbol``.
+
+    Symbols are numbered within the language, the first `len(letters)` by ``letters``; the next one stands
+    for every symbol that its sample does not hold. A cell that another state owns is no transition.
+    """
+
+    letters: np.ndarray  # symbols of the model that the sample holds
+    base: np.ndarray
+    cells: np.ndarray  # next state, owner
 
 
 @dataclass
 class Model:
     languages: list[str]
-    symbols: np.ndarray  # symbol of every code point; 0 is no letter
-    width: int  # symbols, the stretch end included (the last one)
-    table: np.ndarray  # next state with the phrase mark, by state and symbol
-    roots: np.ndarray  # first state of each language
+    symbols: np.ndarray  # symbol of every code point; 0 is no letter, the last one a letter of no sample
+    width: int  # symbols
+    automata: list[Automaton]
     bits: np.ndarray  # bits of one phrase
 
 
@@ -103,41 +111,59 @@ def _collapsed(symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def _automaton(text: np.ndarray) -> Automaton:
+    """The suffix automaton of ``text``, whose states lie in each other's gaps."""
+    letters, counts = np.unique(text, return_counts=True)
+    order = np.argsort(-counts, kind="stable")  # frequent symbols side by side leave small gaps
+    letters, rank = letters[order], np.argsort(order)
+    edges = suffix_automaton(rank[np.searchsorted(np.sort(letters), text)].tolist())
+    first = len(letters)  # so that no place is before the array
+    base = np.full(len(edges), first, dtype=np.int64)
+    used, low, most = bytearray(3 * first + 1), first, 0
+    for state in sorted((k for k, out in enumerate(edges) if len(out) > 1), key=lambda k: -len(edges[k])):
+        out = sorted(edges[state])
+        at, tried = used.index(0, low), 1
+        while any(used[at - out[0] + symbol] for symbol in out):
+            at, tried = used.index(0, at + 1), tried + 1
+            if at + 2 * first >= len(used):
+                used.extend(bytes(len(used)))
+        low = at if tried > _TRIES else low
+        base[state] = at - out[0]
+        for symbol in out:
+            used[at - out[0] + symbol] = 1
+        most = max(most, at - out[0] + out[-1])
+        if most + 3 * first >= len(used):
+            used.extend(bytes(len(used)))
+    single = np.array([(k, *out, *out.values()) for k, out in enumerate(edges) if len(out) == 1], dtype=np.int64).reshape(-1, 3)
+    free = np.flatnonzero(np.frombuffer(used, np.uint8)[first:] == 0)[: len(single)] + first
+    free = np.concatenate([free, len(used) + np.arange(len(single) - len(free))])
+    base[single[:, 0]] = free - single[:, 1]
+    cells = np.full((base.max() + first + 1, 2), -1, dtype=np.int32)
+    cells[free] = single[:, [2, 0]]
+    for state, out in enumerate(edges):
+        if len(out) > 1:
+            cells[base[state] + np.array(list(out))] = [(target, state) for target in out.values()]
+    return Automaton(letters, base.astype(np.int32), cells.reshape(-1).view(np.int64))
+
+
 def build(samples: dict[str, list[str]]) -> Model:
     """A model from sample texts by language. Languages are taken in code point order."""
     languages = sorted(name for name, texts in samples.items() if any(map(str.isalpha, "".join(texts))))
     is_letter = _letters()
     codes, _ = _codes([text for name in languages for text in samples[name]])
-    codes = codes[is_letter[codes]]
-    seen, counts = np.unique(codes, return_counts=True)
-    known = seen[np.lexsort((seen, -counts))][:MAX_LETTERS]
-    other, end = len(known) + 1, len(known) + 2
-    symbols = np.zeros(0x110000, dtype=np.uint8)
-    symbols[is_letter] = other
+    known = np.unique(codes[is_letter[codes]])
+    symbols = np.zeros(0x110000, dtype=np.int32)
+    symbols[is_letter] = len(known) + 1
     symbols[known] = np.arange(1, len(known) + 1)
 
     limit = max(1024, min(SAMPLE_SYMBOLS, TOTAL_SYMBOLS // max(1, len(languages))))
-    width, tables, roots, bits, base = end + 1, [], [], [], 0
+    automata, bits = [], []
     for name in languages:
         codes, owner = _codes(samples[name])
         text = symbols[codes][_collapsed(symbols[codes], owner)][:limit]
-        edges = suffix_automaton(text[text != other].tolist())
-        table = np.empty((len(edges), width), dtype=np.int32)
-        # No transition: the phrase ends, and the next one begins with this symbol. A symbol that the
-        # sample does not hold is a phrase of its own.
-        restart = np.full(width, base + 2 * _PHRASE, dtype=np.int32)
-        restart[list(edges[0])] = np.array(list(edges[0].values()), dtype=np.int32) + base + _PHRASE
-        table[:] = restart
-        table[0] -= _PHRASE  # at the start no phrase is open
-        for state, out in enumerate(edges):
-            table[state, list(out)] = np.array(list(out.values()), dtype=np.int32) + base
-        table[:, end] = np.arange(base, base + len(edges))
-        tables.append(table)
-        roots.append(base)
+        automata.append(_automaton(text))
         bits.append(np.log2(len(text) + 1))
-        base += len(edges)
-    table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
-    return Model(languages, symbols, width, table, np.array(roots, np.int32), np.array(bits))
+    return Model(languages, symbols, len(known) + 2, automata, np.array(bits))
 
 
 def fit(docs: DataFrame) -> Model:
@@ -173,6 +199,29 @@ def fit(docs: DataFrame) -> Model:
     return build(samples)
 
 
+def _phrases(automaton: Automaton, width: int, rows: np.ndarray, active: np.ndarray) -> np.ndarray:
+    """Phrases that end within each column of ``rows``, of which the first ``active`` ones reach each row."""
+    local = np.full(width, len(automaton.letters), dtype=np.int32)
+    local[automaton.letters] = np.arange(len(automaton.letters))
+    base, cells = automaton.base, automaton.cells
+    state = np.zeros(rows.shape[1], dtype=np.int32)
+    phrases = np.zeros(rows.shape[1], dtype=np.int64)
+    for row, n in zip(rows, active):
+        if not n:
+            break
+        symbol, before = local[row[:n]], state[:n]
+        found = cells[base[before] + symbol].view(np.int32)
+        state = found[::2].copy()
+        # No transition: the phrase ends, and the next one begins with this symbol. A symbol that the
+        # sample does not hold is a phrase of its own. At the start no phrase is open.
+        miss = np.flatnonzero(found[1::2] != before)
+        found = cells[base[0] + symbol[miss]].view(np.int32)
+        known = found[1::2] == 0
+        state[miss] = np.where(known, found[::2], 0)
+        phrases[miss] += 2 - known - (before[miss] == 0)
+    return phrases
+
+
 def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Phrases that each text needs in each language, and its number of letters."""
     n_texts, n_languages = len(texts), len(model.languages)
@@ -185,17 +234,19 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     stretches = -(-sizes // STRETCH)
     first = np.concatenate([[0], np.cumsum(stretches)])
     at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    rows = np.full((STRETCH, first[-1]), model.width - 1, dtype=np.int32)
-    rows[at % STRETCH, first[owner] + at // STRETCH] = symbols
-
-    state = np.repeat(model.roots[:, None], first[-1], axis=1)
-    phrases = np.zeros((n_languages, first[-1]), dtype=np.int32)
-    for column in rows:
-        step = model.table[state * np.int32(model.width) + column]
-        phrases += step >> _SHIFT
-        state = step & _STATE
-    sums = np.concatenate([np.zeros((n_languages, 1), np.int64), np.cumsum(phrases, axis=1)], axis=1)
-    return (sums[:, first[1:]] - sums[:, first[:-1]]).T, letters
+    stretch = first[owner] + at // STRETCH
+    # Long stretches first, so that those still being parsed are the first ones of every row.
+    lengths = np.bincount(stretch, minlength=first[-1])
+    order = np.argsort(-lengths, kind="stable")
+    place = np.argsort(order)
+    rows = np.zeros((STRETCH, first[-1]), dtype=np.int32)
+    rows[at % STRETCH, place[stretch]] = symbols
+    active = np.searchsorted(-lengths[order], -np.arange(STRETCH), side="left")
+    phrases = np.zeros((n_texts, n_languages), dtype=np.int64)
+    for k, automaton in enumerate(model.automata):
+        sums = np.concatenate([[0], np.cumsum(_phrases(automaton, model.width, rows, active)[place])])
+        phrases[:, k] = sums[first[1:]] - sums[first[:-1]]
+    return phrases, letters
 
 
 def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:

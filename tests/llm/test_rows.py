@@ -159,6 +159,42 @@ def test_cross_parsing_counts_longest_matches():
     assert letters.tolist() == [11, 0, 0]
 
 
+#: Code points of the letters of ten scripts.
+SCRIPTS = {
+    "ar": [(0x627, 0x63B), (0x641, 0x64B)], "el": [(0x3B1, 0x3CA)], "en": [(0x61, 0x7B)], "he": [(0x5D0, 0x5EB)], "hi": [(0x905, 0x93A)],
+    "ja": [(0x3041, 0x3097), (0x30A1, 0x30FB), (0x4E00, 0x4F00)], "ko": [(0xAC00, 0xB400)], "ru": [(0x430, 0x450)], "th": [(0xE01, 0xE31)], "zh": [(0x4E00, 0x5600)],
+}
+
+
+def script_texts(name, rows, size=300):
+    draw = random.Random(name)
+    letters = [chr(code) for part in SCRIPTS[name] for code in range(*part) if chr(code).isalpha()]
+    lexicon = ["".join(draw.choices(letters, k=draw.randint(1, 5))) for _ in range(400)]
+    return [" ".join(draw.choices(lexicon, k=size // 4)) for _ in range(rows)]
+
+
+def test_language_of_many_scripts():
+    texts = {name: script_texts(name, 48) for name in SCRIPTS}
+    model = langid.build({name: some[:40] for name, some in texts.items()})
+    letters = {c for some in texts.values() for text in some[:40] for c in text if c.isalpha()}
+    assert len({model.symbols[ord(c)] for c in letters}) == len(letters) > 1000
+    for name, some in texts.items():
+        assert langid.predict(model, some[40:])[0] == [name] * 8
+    # A letter of no sample is a phrase of its own everywhere.
+    assert langid.parse(model, ["\u10d0" * 5])[0].tolist() == [[5] * len(SCRIPTS)]
+
+
+def test_sparse_transitions_are_the_automaton():
+    for name in ("en", "zh"):
+        text = np.unique(np.array([ord(c) for c in script_texts(name, 1)[0]]), return_inverse=True)[1]
+        table = langid._automaton(text)
+        order = {int(symbol): k for k, symbol in enumerate(table.letters)}
+        edges = langid.suffix_automaton([order[int(symbol)] for symbol in text])
+        for state, out in enumerate(edges):
+            cells = table.cells[table.base[state] + np.arange(len(order) + 1)].view(np.int32)
+            assert {k: int(cells[2 * k]) for k in range(len(order) + 1) if cells[2 * k + 1] == state} == out
+
+
 def test_repetition_query(spark, texts):
     found = by_id(QUERIES["op7_repetition"](spark, SF_DIR))
     for key, text in texts.items():
