@@ -291,12 +291,16 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """The documents whose text has a language (not ``und``), with all their columns."""
+    """The documents whose text has a language (not ``und``), with all their columns.
+
+    When nothing could be learned, no text can be named; then those that have a letter are kept.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.text_chunks(batches):
-            named = predict(model.value, [text or "" for text in batch.column("text").to_pylist()])[0]
-            yield batch.filter(pa.array([name != "und" for name in named]))
+            named, _, letters, _ = predict(model.value, [text or "" for text in batch.column("text").to_pylist()])
+            keep = [name != "und" for name in named] if model.value.languages else letters > 0
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)

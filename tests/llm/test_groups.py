@@ -160,6 +160,17 @@ def test_stages_of_odd_tables(spark, stage):
     assert function(spark, docs.limit(0), SF_DIR).collect() == []
 
 
+def test_language_stage_without_labels(spark):
+    prepare(spark)
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    texts = [(1, None), (2, ""), (3, "12 !!"), (4, "some words"), (4, "some words"), (None, "слово")]
+    for lang in (None, "en"):  # labels only on texts without letters teach nothing either
+        rows = [(i, t, lang if i in (2, 3) else None, "s", 1) for i, t in texts]
+        kept = dict(corpus_pipeline.STAGES)["language"](spark, spark.createDataFrame(rows, documents.schema), SF_DIR)
+        assert kept.columns == documents.columns
+        assert sorted(str(r.text) for r in kept.collect()) == ["some words", "some words", "слово"]
+
+
 def test_mixing_with_weights_of_the_caller(spark):
     rows = [(k, "a b", "s", k) for k in range(8)]
     weight = F.when(F.col("n_words") < 5, F.lit(1.0)).when(F.col("n_words") == 5, F.lit(0.0))
