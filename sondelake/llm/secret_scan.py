@@ -10,7 +10,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -88,27 +90,87 @@ class MarkovRatio:
         return float(self.ratio[codes[:-1], codes[1:]].mean()) if len(codes) > 1 else 0.0
 
 
-#: Least mean ratio of a secret. A run must also mix letters with digits, as long words do not.
+#: Least mean ratio of a secret, and its least length.
 THRESHOLD = 0.35
+LEAST = 20
+#: Letters that a run without digits must have: `xxxx` and the like are not drawn at random.
+LEAST_LETTERS = 8
+
+
+def is_random(run: str, model: MarkovRatio) -> bool:
+    """Whether the chains call a whole run random. One without any letter never is."""
+    letters = {c for c in run if c.isalpha()}
+    if len(run) < LEAST or not letters or (len(letters) < LEAST_LETTERS and not any(c.isdigit() for c in run)):
+        return False
+    return model.score(run) > THRESHOLD
+
+
+def maximal_stretches(gains: np.ndarray) -> list[tuple[int, int]]:
+    """All maximal-scoring stretches of ``gains`` (Ruzzo and Tompa), in order; one pass."""
+    # Start, end, sum before the stretch, sum at its end, place of the last one before with a smaller sum before it.
+    found: list[tuple[int, int, float, float, int]] = []
+    total = 0.0
+    for k, gain in enumerate(gains.tolist()):
+        before, total = total, total + gain
+        if gain <= 0:
+            continue
+        start, at = k, len(found) - 1
+        while True:
+            while at >= 0 and found[at][2] >= before:
+                at = found[at][4]
+            if at < 0 or found[at][3] >= total:
+                break
+            start, before, at, stop = found[at][0], found[at][2], found[at][4], at
+            del found[stop:]
+        found.append((start, k + 1, before, total, at))
+    return [stretch[:2] for stretch in found]
+
+
+def random_parts(run: str, model: MarkovRatio) -> list[tuple[int, int]]:
+    """Where ``run`` is random: all of it, or the parts that stand out from the ordinary rest.
+
+    A part is a maximal stretch of the summed ratios above `THRESHOLD`, widened to the next `/` or `=`
+    on both sides if that is random as well, as the ends of a key may look ordinary.
+    """
+    if is_random(run, model):
+        return [(0, len(run))]
+    codes = np.array([_CODE[c] for c in run])
+    parts, done, judged = [], 0, None
+    stops = [-1, *(k for k, c in enumerate(run) if c in "/="), len(run)]
+    for start, end in maximal_stretches(model.ratio[codes[:-1], codes[1:]] - THRESHOLD):
+        end += 1  # a ratio belongs to two characters
+        wide = (max(done, stops[bisect_right(stops, start) - 1] + 1), stops[bisect_left(stops, end)])
+        if wide != judged and is_random(run[slice(*wide)], model):
+            parts.append(wide)
+        elif start >= done and is_random(run[start:end], model):
+            parts.append((start, end))
+        judged, done = wide, parts[-1][1] if parts else 0
+    return parts
 
 
 def spans(text: str, model: MarkovRatio) -> list[tuple[str, int, int]]:
     """(kind, start, end) of everything found, by start, then kind. Base kinds as the patterns give
-    them; runs that the chains call random are added where no base span covers any of their characters.
+    them; parts that the chains call random are added from what base spans leave of each candidate run.
     """
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    base = list(found)
+    base, first = sorted(s[1:] for s in found), 0
     for m in _CANDIDATE.finditer(text):
-        run = m[0]
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-            continue
-        if any(start < m.end() and m.start() < end for _, start, end in base):
-            continue
-        if model.score(run) > THRESHOLD:
-            found.append(("random", *m.span()))
+        at, rest = m.start(), []
+        while first < len(base) and base[first][1] <= at:
+            first += 1
+        for start, end in takewhile(lambda s: s[0] < m.end(), base[first:]):
+            rest.append((at, start))
+            at = max(at, end)
+        rest.append((at, m.end()))
+        for start, end in rest:
+            if len(rest) > 1:  # what joined it to a base span goes
+                start += len(text[start:end]) - len(text[start:end].lstrip("/="))
+                end = start + len(text[start:end].rstrip("/="))
+            if end - start >= LEAST:
+                found += [("random", start + a, start + b) for a, b in random_parts(text[start:end], model)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

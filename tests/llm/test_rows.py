@@ -132,6 +132,40 @@ def test_secret_models(spark):
     assert rows[1].text == masked and rows[1].n_chars == len(masked) and rows[2].text is None and rows[2].x == "f"
 
 
+def test_maximal_stretches_are_the_best_of_what_is_left():
+    def plain(gains, at, end):
+        sums = [(-sum(gains[i:j]), j - i, i, j) for i in range(at, end) for j in range(i + 1, end + 1)]
+        if not sums or min(sums)[0] >= 0:
+            return []
+        _, _, i, j = min(sums)
+        return [*plain(gains, at, i), (i, j), *plain(gains, j, end)]
+
+    draw = random.Random(3)
+    for size in (0, 1, 5, 12, 30) * 8:
+        gains = np.array([draw.choice((-5, -3, -1, 2, 4, 7)) + draw.random() for _ in range(size)])
+        assert secret_scan.maximal_stretches(gains) == plain(gains.tolist(), 0, size)
+
+
+def test_secrets_within_mixed_runs():
+    model = secret_scan.MarkovRatio(secret_scan.labelled_samples())
+    draw = random.Random(11)
+    letters = secret_scan._ALPHABET[:52]
+    lost = 0
+    for _ in range(40):
+        key = "".join(draw.choices(letters + "0123456789", k=40))
+        bare = "".join(draw.choices(letters, k=32))
+        short = "".join(draw.choices(letters + "0123456789", k=20))
+        text = f"AKIA{'AB12' * 4}/{key} at /api/v1/management/information/{short}/content/list?x /{bare}, user/account/manager/{short}"
+        found = secret_scan.spans(text, model)
+        assert [s for s in found if s[0] != "random"] == plain_secrets(text)
+        masked = secret_scan.masked(text, found)
+        lost += sum(part in masked for part in (key, bare, short))
+        assert "management" in masked or "information" in masked
+    assert lost <= 4
+    for plain in ("x" * 300, "=" * 40, "12-34_" * 8, "/api/management/information/content/list", "getUserAccountInformationManager"):
+        assert secret_scan.spans(plain, model) == []
+
+
 def test_language_query(spark, texts):
     labels = by_id(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang"))
     found = by_id(QUERIES["op3_language"](spark, SF_DIR))
