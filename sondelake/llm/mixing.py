@@ -16,6 +16,8 @@ SHARES = (5, 2, 1)
 MOST_EPOCHS = 3
 #: Rows of the per-source table up to which it is broadcast; beyond, it is joined by shuffle.
 BROADCAST_SOURCES = 100_000
+#: Order of a source's documents; the last column only keeps equal rows from being one range.
+ORDER = ("key", "doc_id", "size", "text_key", "row")
 
 
 def word_count(text: Column) -> Column:
@@ -66,6 +68,16 @@ def targets(sources: DataFrame, shares: tuple[int, ...], most: int) -> DataFrame
     )
 
 
+def key_ranges(slim: DataFrame) -> DataFrame:
+    """The rows with their ``range``: even parts of all rows by source and `ORDER`, in that order.
+
+    Bounds are drawn from the keys themselves, so no weights crowd a range, and equal keys are split
+    by the columns after them. The ranges are stored, as they must not be drawn again.
+    """
+    dealt = slim.repartitionByRange("source", *ORDER).withColumn("range", F.spark_partition_id())
+    return write_scratch(dealt, "mix-ranges")
+
+
 def mix(
     docs: DataFrame,
     shares: tuple[int, ...] = SHARES,
@@ -83,18 +95,20 @@ def mix(
     table gives an empty result. Reruns agree, as keys depend on the id alone. A ``weight`` of the
     caller's that is null or not above 0 puts a document behind all others of its source.
 
-    A source may hold any share of the rows: its documents are cut into about the square root of
-    their number of key ranges, sizes are summed per range first, and each range is ordered alone.
+    A source may hold any share of the rows and its weights any distribution: rows are dealt into even
+    ranges of what they are ordered by, sizes are summed per range first, and each range is ordered alone.
     """
     text = F.col("text")
+    given = quality(text) if weight is None else weight
     slim = write_scratch(
         docs.select(
             "doc_id",
             "source",
             word_count(text).alias("size"),
-            (quality(text) if weight is None else weight).alias("weight"),
+            given.alias("weight"),
             F.xxhash64("text").alias("text_key"),
-        ),
+            F.monotonically_increasing_id().alias("row"),
+        ).withColumn("key", F.when(F.col("weight") > 0, -F.log(uniform(F.col("doc_id"))) / F.col("weight")).otherwise(F.lit(float("inf")))),
         "mix-sizes",
     )
     totals = write_scratch(
@@ -105,17 +119,14 @@ def mix(
         "source_size",
         "target",
         F.round("target").cast("long").alias("words"),
-        F.ceil(F.sqrt("n_docs")).alias("ranges"),
     )
     if totals.count() <= BROADCAST_SOURCES:
         budget = F.broadcast(budget)
     full = F.col("source_size") > 0
     keyed = (
-        slim.join(budget, F.col("source").eqNullSafe(F.col("of")), "left")
+        key_ranges(slim).join(budget, F.col("source").eqNullSafe(F.col("of")), "left")
         .withColumn("epochs", F.when(full, F.least(F.floor(F.col("words") / F.col("source_size")), F.lit(most))).otherwise(0))
         .withColumn("left_over", F.col("words") - F.col("epochs") * F.col("source_size"))
-        .withColumn("key", F.when(F.col("weight") > 0, -F.log(uniform(F.col("doc_id"))) / F.col("weight")).otherwise(F.lit(float("inf"))))
-        .withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges")), F.col("ranges") - 1))
     )
     per_range = keyed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -124,7 +135,7 @@ def mix(
         F.col("range").alias("of_range"),
         F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("before_range"),
     )
-    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.join(
         before, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("range") == F.col("of_range"))
     ).withColumn("before", F.col("before_range") + F.coalesce(F.sum("size").over(inside), F.lit(0)))

@@ -180,6 +180,26 @@ def test_mixing_with_weights_of_the_caller(spark):
     assert all(taken[k] == 0 for k in (5, 6, 7) if sum(taken[j] for j in range(5)) < 10)
 
 
+@pytest.mark.parametrize("weight", [1 / 21, 0.0, None])
+def test_mixing_cuts_even_ranges(spark, weight, monkeypatch):
+    write, seen, n = mixing.write_scratch, {}, 4000
+    monkeypatch.setattr(mixing, "write_scratch", lambda df, name: seen.setdefault(name, write(df, name)))
+    # One id for a quarter of the rows, and weights far below 1, not above 0 or null.
+    rows = [(k if k % 4 else 0, "a b", "s", k) for k in range(n)]
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = mixing.mix(frame(spark, rows), weight=F.lit(weight).cast("double")).collect()
+        ranges = seen["mix-ranges"].groupBy("source", "range").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == n and sum(r.taken for r in found) == 2 * n
+    assert max(r["count"] for r in ranges) < 2 * n / 16
+
+
 def test_mixing_meets_its_targets(spark):
     rows = corpus() + [(k, "a b c", "big", 1) for k in range(100, 140)] + [(100, "a b c", "big", 1)]
     found = mixing.mix(frame(spark, rows)).collect()
