@@ -23,9 +23,8 @@ from sondelake.llm import words
 MAX_LANGUAGES = 512
 ROWS_PER_LANGUAGE = 64
 CHARS_PER_ROW = 2048
-#: Symbols of a language's sample; less when there are so many languages that all would exceed `TOTAL`.
+#: Symbols of a language's sample, whatever the number of languages; its texts have even shares in them.
 SAMPLE_SYMBOLS = 16384
-TOTAL_SYMBOLS = 1 << 19
 #: Texts are parsed in stretches of this many symbols, each from a fresh phrase.
 STRETCH = 128
 
@@ -111,6 +110,15 @@ def _collapsed(symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def _shares(sizes: np.ndarray, total: int) -> np.ndarray:
+    """Even shares of ``total`` in texts of these sizes; what short texts leave goes to the longer ones."""
+    shares = np.zeros(len(sizes), dtype=np.int64)
+    for done, k in enumerate(np.argsort(sizes, kind="stable")):
+        shares[k] = min(sizes[k], total // (len(sizes) - done))
+        total -= shares[k]
+    return shares
+
+
 def _automaton(text: np.ndarray) -> Automaton:
     """The suffix automaton of ``text``, whose states lie in each other's gaps."""
     letters, counts = np.unique(text, return_counts=True)
@@ -156,11 +164,13 @@ def build(samples: dict[str, list[str]]) -> Model:
     symbols[is_letter] = len(known) + 1
     symbols[known] = np.arange(1, len(known) + 1)
 
-    limit = max(1024, min(SAMPLE_SYMBOLS, TOTAL_SYMBOLS // max(1, len(languages))))
     automata, bits = [], []
     for name in languages:
         codes, owner = _codes(samples[name])
-        text = symbols[codes][_collapsed(symbols[codes], owner)][:limit]
+        keep = _collapsed(symbols[codes], owner)
+        sizes = np.bincount(owner[keep], minlength=len(samples[name]))
+        at = np.arange(len(keep)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        text = symbols[codes[keep[at < _shares(sizes, SAMPLE_SYMBOLS)[owner[keep]]]]]
         automata.append(_automaton(text))
         bits.append(np.log2(len(text) + 1))
     return Model(languages, symbols, len(known) + 2, automata, np.array(bits))
@@ -170,7 +180,8 @@ def fit(docs: DataFrame) -> Model:
     """A model from the labelled documents that are not held out.
 
     The fit sees at most `ROWS_PER_LANGUAGE` different texts, of `CHARS_PER_ROW` characters each,
-    of each label: those with the smallest hashes of their text, so that copies count once.
+    of each label: those with the smallest hashes of their text, so that copies count once. Of these
+    texts the first symbols go into the automaton, `SAMPLE_SYMBOLS` a label in even shares.
     """
     learn = docs.where(
         ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")

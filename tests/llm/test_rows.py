@@ -218,6 +218,18 @@ def test_language_of_many_scripts():
     assert langid.parse(model, ["\u10d0" * 5])[0].tolist() == [[5] * len(SCRIPTS)]
 
 
+def test_language_samples_are_shared_evenly():
+    assert langid._shares(np.array([5, 100, 0, 100]), 60).tolist() == [5, 27, 0, 28]
+    # Each text has words of its own; one language or forty, all of them are in the sample.
+    draw = random.Random(8)
+    own = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(64)]
+    samples = {f"l{k:02}": [f"{word} " * 150 for word in own] for k in range(40)}
+    for some in ({"l00": samples["l00"]}, samples):
+        model = langid.build(some)
+        assert langid.parse(model, own)[0].tolist() == [[0] * len(some)] * 64
+        assert np.allclose(model.bits, np.log2(langid.SAMPLE_SYMBOLS + 1))
+
+
 def test_sparse_transitions_are_the_automaton():
     for name in ("en", "zh"):
         text = np.unique(np.array([ord(c) for c in script_texts(name, 1)[0]]), return_inverse=True)[1]
