@@ -1,12 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing against the corpus itself.
-
-Every document is cut into reference blocks at places that its words alone decide: neighbouring
-windows whose smallest n-gram hash, the *anchor*, is the same form one block. Equal windows thus
-lie in blocks with equal anchors, wherever they stand, and the index of all blocks is a table
-keyed by anchor. A document is then factored greedily against every indexed block of documents with
-smaller ids: a block that one of them holds whole is one factor. Where it is not, the document is
-at a factor boundary, and each window there is checked against the windows of the blocks with that
-anchor. Factors of at least `width` words, joined where they overlap, are the duplicate spans.
+"""Substring dedup by anchored blocks and window hashes.
+
+Every document is cut into blocks at places that its words alone decide: neighbouring windows whose
+smallest n-gram hash, the *anchor*, is the same form one block. Equal windows thus lie in blocks
+with equal anchors, wherever they stand, and the index of all blocks is a table keyed by anchor.
+Where all blocks of an anchor are equal, a block that a smaller id holds is repeated as a whole.
+Where they differ, each window of every different block is looked up among the windows of the blocks
+with that anchor. Windows of `width` words found so, joined where they overlap, are the duplicate
+spans. This stands in for greedy relative Lempel-Ziv factoring: no longest match is computed.
 """
 
 from __future__ import annotations
