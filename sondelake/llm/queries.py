@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sondelake.llm import decontam, langid, mixing, ngram_join, pii, repetition, secret_scan, substring, token_counts, url_filter
+from sondelake.llm import (
+    centroids,
+    decontam,
+    langid,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    prefix_trie,
+    repetition,
+    secret_scan,
+    substring,
+    token_counts,
+    url_filter,
+)
 
 #: Tokenizer whose tokens are counted; `public_tokenizers` knows its place.
 VOCABULARY = "word_bpe_49k.json"
@@ -77,6 +91,20 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -90,5 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_token_counts,
         op10_urls,
+        op11_prefix_trie,
+        op12_packing,
+        op13_centroids,
     )
 }

@@ -104,4 +104,94 @@ SELECT doc_id, source, size, source_size, target, weight,
 FROM k
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op5_substring_dedup": OP5, "op6_ngram_join": OP6, "op8_mixing": OP8}
+# The checksum byte by byte, eight shifts each.
+_CRC32 = """xor(CAST(4294967295 AS UBIGINT), list_reduce(
+    list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS UBIGINT[])),
+      lambda x, y: xor(x >> 1, CAST(3988292384 AS UBIGINT) * (x & 1)))))"""
+
+OP11 = f"""
+WITH turns AS (
+  SELECT conv_id, length(coalesce(text, '')) AS size,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, CAST({_CRC32.format("CAST(conv_id AS VARCHAR)")} % 6 AS BIGINT) AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), heads AS (
+  SELECT c.conv_id, p, digest, size FROM convs c JOIN turns t ON t.conv_id = c.base AND t.p < c.h
+), counts AS (
+  SELECT c.conv_id, h, count(p) AS n FROM convs c LEFT JOIN heads USING (conv_id) GROUP BY c.conv_id, h
+), rebuilt AS (
+  SELECT conv_id, p, digest, size FROM heads
+  UNION ALL SELECT conv_id, p - h + n, digest, size FROM turns JOIN counts USING (conv_id) WHERE p >= h
+), lists AS (
+  SELECT c.conv_id, coalesce(list(digest ORDER BY p) FILTER (digest IS NOT NULL), []) AS ds,
+    coalesce(list(size ORDER BY p) FILTER (digest IS NOT NULL), []) AS sizes
+  FROM convs c LEFT JOIN rebuilt USING (conv_id) GROUP BY c.conv_id
+), members AS (
+  SELECT conv_id, d, len(ds) AS n, array_to_string(ds[1:d], ',') AS k, array_to_string(ds[1:d-1], ',') AS up, ds, sizes
+  FROM lists, unnest(range(0, CAST(len(ds) AS BIGINT) + 1)) AS t(d)
+), nodes AS (
+  SELECT k, d, CASE WHEN d > 0 THEN any_value(up) END AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(ds[1:d]) AS ds,
+    CASE WHEN d > 0 THEN any_value(sizes[d]) ELSE 0 END AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM members GROUP BY k, d
+), children AS (
+  SELECT up, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up
+), known AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.up = n.k
+), sums AS (
+  SELECT array_to_string(ds[1:a], ',') AS k, sum((n_convs - 1) * size) AS saved_tokens, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+  FROM known, unnest(range(0, CAST(d AS BIGINT) + 1)) AS t(a) GROUP BY 1
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM known n JOIN sums USING (k) LEFT JOIN nodes p ON p.k = n.up
+"""
+
+
+def _centroids(k: int = 40, rounds: int = 5) -> str:
+    steps = []
+    nearest = """a{0} AS MATERIALIZED (
+  SELECT v.i, arg_min(c.number, (q, c.number)) AS number, min(q) AS distance
+  FROM v, c{0} c, LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS q)
+  GROUP BY v.i
+)"""
+    for r in range(rounds):
+        steps.append(nearest.format(r))
+        steps.append(
+            f"""m{r} AS MATERIALIZED (
+  SELECT number, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x
+  FROM (SELECT number, j, sum(CAST(x[j] AS HUGEINT)) AS s, count(*) AS n FROM v JOIN a{r} USING (i), range(1, 65) AS t(j) GROUP BY number, j)
+  GROUP BY number
+), c{r + 1} AS MATERIALIZED (SELECT c.number, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (number))"""
+        )
+    steps.append(nearest.format(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND list_count(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS number, x
+  FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT {k})
+), {", ".join(steps)}
+SELECT vec_id, CAST(number AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY number) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (i) JOIN c{rounds} c USING (number)
+"""
+
+
+OP13 = _centroids()
+
+ORACLES: dict[str, str] = {
+    "op4_decontamination": OP4,
+    "op5_substring_dedup": OP5,
+    "op6_ngram_join": OP6,
+    "op8_mixing": OP8,
+    "op11_prefix_trie": OP11,
+    "op13_centroids": OP13,
+}
