@@ -41,7 +41,7 @@ def walsh_hadamard(vectors: np.ndarray) -> np.ndarray:
     out = vectors.astype(np.int64)
     half = 1
     while half < SIZE:
-        pairs = out.reshape(len(out), -1, 2, half)
+        pairs = out.reshape(len(out), SIZE // (2 * half), 2, half)
         out = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(out), SIZE)
         half *= 2
     return out
