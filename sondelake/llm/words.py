@@ -29,9 +29,12 @@ ALPHANUMERIC[128:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+#: Prime moduli below 2^31 of the two hashes that make one, each with a base of its own.
+_MODULI = (2_147_483_647, 2_147_483_629)
+_BASES = (1_610_612_741, 805_306_457)
+#: Positions whose powers are kept; longer spans are hashed in stretches of this many.
+_STRETCH = 1 << 18
+_tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def text_chunks(
@@ -88,26 +91,69 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < size:
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+def _power_tables() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers and inverse powers of both bases, made once by doubling."""
+    if not _tables:
+        for modulus, base in zip(_MODULI, _BASES):
+            pair = []
+            for step in (base, pow(base, -1, modulus)):
+                powers = np.ones(2 * _STRETCH + 1, dtype=np.uint64)
+                done = 1
+                while done < len(powers):
+                    more = powers[: min(done, len(powers) - done)] * np.uint64(pow(step, done, modulus))
+                    powers[done : done + len(more)] = more % np.uint64(modulus)
+                    done += len(more)
+                pair.append(powers)
+            _tables.append((pair[0], pair[1]))
+    return _tables
+
+
+def _terms(values: np.ndarray, modulus: np.uint64, powers: np.ndarray) -> np.ndarray:
+    """Summands of the hash of ``values``: each plus one, times the power of its place."""
+    small = values if values.dtype.itemsize < 4 else values.astype(np.uint64) % modulus
+    return (small.astype(np.uint64) + np.uint64(1)) * powers[: len(values)] % modulus
+
+
+def _short_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    halves = []
+    for modulus, (powers, inverse) in zip(map(np.uint64, _MODULI), _power_tables()):
+        sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(_terms(values, modulus, powers), out=sums[1:])  # below 2^31 each: no overflow
+        halves.append((sums[ends] - sums[starts]) % modulus * inverse[starts] % modulus)
+    return (halves[0] << np.uint64(32)) | halves[1]
+
+
+def _long_span(values: np.ndarray) -> int:
+    halves = []
+    for modulus, base, (powers, _) in zip(_MODULI, _BASES, _power_tables()):
+        total = 0
+        for at in range(0, len(values), _STRETCH):
+            stretch = _terms(values[at : at + _STRETCH], np.uint64(modulus), powers)
+            total += int(stretch.sum()) % modulus * pow(base, at, modulus)
+        halves.append(total % modulus)
+    return (halves[0] << 32) | halves[1]
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``values[start:end]``, equal for equal content wherever it stands.
+    """62-bit hashes (as 64 spread bits) of ``values[start:end]``, equal for equal content wherever
+    it stands; ``starts`` ascend.
 
-    Polynomial hashes from one running sum; the inverse power of the start takes the position out.
+    Two polynomial hashes modulo primes, from running sums; the inverse power of the start takes the
+    position out. Memory beside the result does not grow with ``values``.
     """
-    powers, inverse = _power_tables(max(len(values), 1))
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers[: len(values)], out=sums[1:])
-    hashes = sums[ends] - sums[starts]
-    hashes *= inverse[np.minimum(starts, len(inverse) - 1)]
-    return mix(hashes)
+    out = np.zeros(len(starts), dtype=np.uint64)
+    short = np.flatnonzero(ends - starts <= _STRETCH)
+    first, last = starts[short], ends[short]
+    done = 0
+    while done < len(short):
+        low = first[done]
+        stop = int(np.searchsorted(first, low + _STRETCH))
+        high = last[done:stop].max()
+        out[short[done:stop]] = _short_spans(values[low:high], first[done:stop] - low, last[done:stop] - low)
+        done = stop
+    for k in np.flatnonzero(ends - starts > _STRETCH):
+        out[k] = _long_span(values[starts[k] : ends[k]])
+    return mix(out)
 
 
 def ngram_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
