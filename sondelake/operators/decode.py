@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,20 +26,25 @@ def decode_headers(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFra
     )
 
 
-def level_lines(blocks: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
+def level_lines(
+    blocks: DataFrame, layout: Layout = HEADER_LAYOUT, beside: Sequence[str] = ()
+) -> DataFrame:
     """Lines that belong to a block: the first N after its header, all of them or none.
 
-    A group with fewer than N lines yields nothing; lines beyond N are ignored.
+    A group with fewer than N lines yields nothing; lines beyond N are ignored. ``beside`` names
+    header columns that each line is to carry.
     """
     count = level_count("header", layout)
     whole = (F.length("header") == layout.width) & (count > 0) & (F.size("body") >= count)
-    # The uid is a column of its own before the lines multiply: once per block, not per line.
+    # What comes from the header is decoded before the lines multiply: once per block, not per line.
+    decoded = {f.name.lower(): c for f, c in zip(layout.ordered, decode("header", layout))}
     keyed = blocks.where(whole).select(
         *ORIGIN,
         block_uid("header", layout).alias("uid"),
+        *[decoded[name] for name in beside],
         F.slice("body", F.lit(1), count).alias("lines"),
     )
-    return keyed.select(*ORIGIN, "uid", F.posexplode("lines").alias("pos", "line"))
+    return keyed.select(*ORIGIN, "uid", *beside, F.posexplode("lines").alias("pos", "line"))
 
 
 def sized_lines(lines: DataFrame, layout: Layout = LEVEL_LAYOUT) -> DataFrame:

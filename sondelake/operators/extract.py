@@ -16,9 +16,11 @@ def max_header_id(headers: DataFrame) -> DataFrame:
     return headers.agg(F.max("header_id").alias("max_head"))
 
 
-def id_range(hi: int, lo: int | None = None, *, inclusive: bool = False) -> Column:
-    """Headers up to ``hi`` and, for a delta, above ``lo`` (or from it, if inclusive)."""
-    header_id = F.col("header_id")
+def id_range(
+    hi: int, lo: int | None = None, *, inclusive: bool = False, column: str = "header_id"
+) -> Column:
+    """Ids up to ``hi`` and, for a delta, above ``lo`` (or from it, if inclusive)."""
+    header_id = F.col(column)
     upper = header_id <= hi
     if lo is None:
         return upper

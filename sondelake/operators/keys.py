@@ -12,6 +12,34 @@ from sondelake.operators.scratch import write_scratch
 _ROW_BITS = 33
 
 
+#: Characters of a uid that decide its part (a station), and the number of parts.
+PART_CHARACTERS = 11
+UID_PARTS = 256
+
+
+def uid_parts(rows: DataFrame) -> DataFrame:
+    """``part, low, high``: for each part of the uids, the smallest and largest rest.
+
+    At most `UID_PARTS` rows, whatever the size of ``rows``. Where uids begin with a place and go on
+    with a time, a part's rest is the period in which its places have rows.
+    """
+    part = F.pmod(F.xxhash64(F.substring("uid", 1, PART_CHARACTERS)), F.lit(UID_PARTS)).cast("int")
+    rest = F.expr(f"substring(uid, {PART_CHARACTERS + 1})")
+    return rows.where("uid IS NOT NULL").groupBy(part.alias("part")).agg(F.min(rest).alias("low"), F.max(rest).alias("high"))
+
+
+def loads_that_may_hold(uids: DataFrame, headers: DataFrame, summaries: DataFrame, load: str) -> DataFrame:
+    """(load) of the loads that can hold any of ``uids``; the headers of all others need not be read.
+
+    ``summaries`` are the `uid_parts` of each load. A load without any, but with headers, can hold
+    whatever it likes. No uid is compared: only a few hundred rows per load are.
+    """
+    wanted = uid_parts(uids).select("part", F.col("low").alias("from"), F.col("high").alias("to"))
+    near = summaries.join(F.broadcast(wanted), "part").where((F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")))
+    unknown = headers.select(load).distinct().join(summaries.select(load).distinct(), load, "left_anti")
+    return near.select(load).distinct().union(unknown)
+
+
 def uids_taken(uids: DataFrame, existing: DataFrame) -> DataFrame:
     """(uid) of those in ``uids`` (a written table, each uid once) that ``existing`` holds.
 

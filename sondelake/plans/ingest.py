@@ -20,7 +20,7 @@ from sondelake.functions.fixedwidth import block_uid
 from sondelake.functions.layout import Layout
 from sondelake.operators.decode import ORIGIN, decode_headers, decode_levels, level_lines
 from sondelake.operators.joins import join_checked
-from sondelake.operators.keys import duplicates, files_with_conflicts, serial_ids
+from sondelake.operators.keys import duplicates, files_with_conflicts, loads_that_may_hold, serial_ids, uid_parts
 from sondelake.operators.quality import (
     BAD_HEADER,
     DUPLICATE_UID,
@@ -32,6 +32,7 @@ from sondelake.operators.quality import (
 from sondelake.operators.scratch import scratch_area, write_scratch
 from sondelake.plans.lake import Lake
 from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, literal_path, read_records
+from sondelake.sources.tables import LOAD_COLUMN
 
 
 def _block_quarantine(blocks: DataFrame, layout: Layout) -> DataFrame:
@@ -60,9 +61,13 @@ def _line_quarantine(judged: DataFrame) -> DataFrame:
 
 
 def _judged_levels(blocks: DataFrame, lake: Lake) -> DataFrame:
-    """Decoded levels of whole groups with their line, origin and the reason to refuse them."""
-    lines = level_lines(blocks, lake.header_layout)
-    levels = decode_levels(lines, lake.level_layout, keep=(*ORIGIN, "line"))
+    """Decoded levels of whole groups with their line, origin and the reason to refuse them.
+
+    By the rules for blocks, a level also carries the published columns of its header.
+    """
+    beside = lake.levels.beside.names
+    lines = level_lines(blocks, lake.header_layout, beside)
+    levels = decode_levels(lines, lake.level_layout, keep=(*ORIGIN, "line", *beside))
     return levels.withColumn("reason", level_reason(lake.level_layout)).withColumnRenamed("file", "source_file")
 
 
@@ -79,6 +84,28 @@ def header_rows(checked: DataFrame, lake: Lake, load_id: str) -> DataFrame:
     return serial_ids(rows, list(ORIGIN), base=base)
 
 
+def existing_headers(lake: Lake, uids: DataFrame, load_id: str) -> DataFrame:
+    """Headers of the other loads that can hold one of ``uids``.
+
+    A broadcast of one short row per load prunes the folders of all others.
+    """
+    headers = lake.headers.read_other_loads(load_id)
+    loads = loads_that_may_hold(uids, headers, lake.uid_parts.read_other_loads(load_id), LOAD_COLUMN)
+    # Stored, as it is read for every use of the headers. Spark prunes by a join if the small side has a
+    # filter and the large one has none on the folders; ``loads`` holds no row of this load.
+    loads = write_scratch(loads, "loads-with-uids").where(F.col(LOAD_COLUMN) > "")
+    return lake.headers.read().join(F.broadcast(loads), LOAD_COLUMN, "left_semi")
+
+
+def write_headers(lake: Lake, checked: DataFrame, load_id: str, *, colocated: bool = False) -> None:
+    """Number and write the headers of a load, then what later runs have to know of them."""
+    lake.headers.write_load(header_rows(checked, lake, load_id), load_id)
+    written = lake.headers.read_load(load_id)
+    lake.uid_parts.write_load(uid_parts(written).coalesce(1), load_id)
+    ids = written.agg(F.min("header_id").alias("first_id"), F.max("header_id").alias("last_id"))
+    lake.ranges.write_load(ids.where("first_id IS NOT NULL").withColumn("colocated", F.lit(colocated)), load_id)
+
+
 def ledger_rows(found: DataFrame, lake: Lake, load_id: str) -> DataFrame:
     """Per input file: blocks ``found``, headers and levels loaded."""
 
@@ -96,7 +123,7 @@ def ledger_rows(found: DataFrame, lake: Lake, load_id: str) -> DataFrame:
 def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     checked = _checked_headers(blocks, lake)
     keys = checked.where("reason IS NULL").select("uid", *ORIGIN)
-    existing = lake.headers.read_other_loads(load_id)
+    existing = existing_headers(lake, keys, load_id)
     copies = duplicates(keys, existing).withColumn("reason", F.lit(DUPLICATE_UID))
     refused = write_scratch(
         checked.where("reason IS NOT NULL").select("seq", "reason").union(copies), "refused"
@@ -117,7 +144,7 @@ def _ingest_by_block(lake: Lake, blocks: DataFrame, load_id: str) -> None:
 
     # Headers last: a reader finds levels only through them.
     good = join_checked(checked, refused_seq, "seq", "left_anti")
-    lake.headers.write_load(header_rows(good, lake, load_id), load_id)
+    write_headers(lake, good, load_id, colocated=bool(lake.levels.beside.names))
 
 
 def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
@@ -136,7 +163,7 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
 
     checked = _checked_headers(kept, lake)
     invalid = checked.where("reason IS NOT NULL").select("file").distinct()
-    existing = lake.headers.read_other_loads(load_id)
+    existing = existing_headers(lake, checked, load_id)
     refused = files_with_conflicts(checked.select("uid", "file"), existing, invalid)
     refused = write_scratch(refused.distinct(), "refused-files")
 
@@ -162,16 +189,18 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     lake.quarantine.write_load(cut_away.union(header_files).union(level_files), load_id)
 
     good = join_checked(checked, refused, "file", "left_anti")
-    lake.headers.write_load(header_rows(good, lake, load_id), load_id)
+    write_headers(lake, good, load_id)
 
 
 def ingest_records(lake: Lake, records: DataFrame, load_id: str) -> DataFrame:
     """Load raw records (file, block_start, value) and return the load's ledger rows.
 
-    A load replaces whatever an earlier attempt with the same ``load_id`` wrote.
+    A load replaces whatever an earlier attempt with the same ``load_id`` wrote. One load runs in a lake at
+    a time; a second one is refused.
     """
     lake.check_rules(keep=True)
-    with scratch_area(lake.spark):
+    with lake.writing(load_id), scratch_area(lake.spark):
+        lake.ranges.drop_load(load_id)  # of an attempt that died: its levels are about to change
         cut = write_scratch(cut_lines(records, lake.header_layout), "blocks")
         blocks = assemble_blocks(cut)
         if lake.whole_files:
@@ -204,12 +233,9 @@ def ingest(lake: Lake, inbox: str, load_id: str) -> DataFrame | None:
     The list of new file names passes through the driver, as every list of input paths does.
     For a steadily filled inbox use `streaming.pickup`, which keeps that list in its checkpoint.
     """
-    refuse_finished(lake, load_id)
-    names = [row.file for row in pending_files(lake, inbox).select("file").toLocalIterator()]
-    if not names:
-        return None
-    try:
+    with lake.logged("ingest"):
+        refuse_finished(lake, load_id)
+        names = [row.file for row in pending_files(lake, inbox).select("file").toLocalIterator()]
+        if not names:
+            return None
         return ingest_records(lake, read_records(lake.spark, [literal_path(n) for n in names]), load_id)
-    except Exception as error:
-        lake.log_error("ingest", error)
-        raise

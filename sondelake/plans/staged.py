@@ -10,7 +10,7 @@ from sondelake.operators.joins import join_checked
 from sondelake.operators.keys import duplicates
 from sondelake.operators.quality import DUPLICATE_UID, first_reason, header_checks, level_checks
 from sondelake.operators.scratch import scratch_area, write_scratch
-from sondelake.plans.ingest import header_rows, ledger_rows, refuse_finished
+from sondelake.plans.ingest import existing_headers, ledger_rows, refuse_finished, write_headers
 from sondelake.plans.lake import Lake
 from sondelake.sources.staged_csv import staged_rows
 
@@ -32,7 +32,7 @@ def _load(lake: Lake, headers_path: str, levels_path: str, load_id: str) -> None
     levels = write_scratch(levels.withColumn("reason", _reason(level_checks(lake.level_layout))), "staged-levels")
 
     keys = headers.where("reason IS NULL").select("uid", "file", "block_start", "seq")
-    copies = duplicates(keys, lake.headers.read_other_loads(load_id)).withColumn("reason", F.lit(DUPLICATE_UID))
+    copies = duplicates(keys, existing_headers(lake, keys, load_id)).withColumn("reason", F.lit(DUPLICATE_UID))
     refused = headers.where("reason IS NOT NULL").select("seq", "reason").union(copies)
     refused = write_scratch(refused, "refused")
 
@@ -44,7 +44,7 @@ def _load(lake: Lake, headers_path: str, levels_path: str, load_id: str) -> None
 
     # Headers last: a reader finds levels only through them.
     good = join_checked(headers, refused.select("seq"), "seq", "left_anti")
-    lake.headers.write_load(header_rows(good.drop("corrupt", "raw"), lake, load_id), load_id)
+    write_headers(lake, good.drop("corrupt", "raw"), load_id)
 
     found = headers.groupBy("file").agg(F.count("*").alias("blocks"))
     found = found.union(levels.groupBy("file").agg(F.lit(0).cast("long").alias("blocks")))
@@ -61,12 +61,10 @@ def load_staged(lake: Lake, headers_path: str, levels_path: str, load_id: str) -
     Levels are kept whatever happens to their header, as staged rows of copies cannot be told
     apart. A finished load id is refused; an unfinished one is done again.
     """
-    refuse_finished(lake, load_id)
-    try:
+    with lake.logged("staged"):
+        refuse_finished(lake, load_id)
         lake.check_rules(keep=True)
-        with scratch_area(lake.spark):
+        with lake.writing(load_id), scratch_area(lake.spark):
+            lake.ranges.drop_load(load_id)  # of an attempt that died: its levels are about to change
             _load(lake, headers_path, levels_path, load_id)
-    except Exception as error:
-        lake.log_error("staged", error)
-        raise
-    return lake.ledger.read_load(load_id)
+        return lake.ledger.read_load(load_id)

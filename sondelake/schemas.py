@@ -78,6 +78,24 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+#: One row per load: the ids of its headers, and whether its levels carry the columns of their headers.
+RANGE_SCHEMA = T.StructType(
+    [
+        T.StructField("first_id", T.LongType()),
+        T.StructField("last_id", T.LongType()),
+        T.StructField("colocated", T.BooleanType()),
+    ]
+)
+
+#: Per load and part of its uids: smallest and largest rest of the uid.
+UID_SCHEMA = T.StructType(
+    [
+        T.StructField("part", T.IntegerType()),
+        T.StructField("low", T.StringType()),
+        T.StructField("high", T.StringType()),
+    ]
+)
+
 # Declared column widths, NOT NULL columns of the tables.
 HEADER_TEXT_WIDTHS = {"id": 12, "p_src": 10, "np_src": 10, "uid": 60}
 LEVEL_TEXT_WIDTHS = {"pflag": 3, "zflag": 3, "tflag": 3, "uid": 60}
@@ -105,6 +123,15 @@ PUBLISHED_LEVEL_COLUMNS = (
 PUBLISHED_COLUMNS = PUBLISHED_HEADER_COLUMNS + PUBLISHED_LEVEL_COLUMNS
 
 
+def beside_schema(header_layout: Layout = HEADER_LAYOUT, level_layout: Layout = LEVEL_LAYOUT) -> T.StructType:
+    """Published header columns that levels can carry: all of them, or none if names clash."""
+    fields = {f.name: f for f in header_schema(header_layout).fields}
+    taken = {f.name for f in level_schema(level_layout).fields}
+    wanted = [fields.get(c) for c in PUBLISHED_HEADER_COLUMNS]
+    fits = all(f is not None and f.name not in taken for f in wanted)
+    return T.StructType(wanted if fits else [])
+
+
 def seed_control(spark, etl_name: str):
     """First control row of a new job: not skipped, full load, ranged by header id."""
     from pyspark.sql import functions as F

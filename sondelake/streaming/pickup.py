@@ -35,21 +35,17 @@ def pickup(
     number and after the checkpoint's own id, so that loads of different checkpoints never meet; if it fails half-way, the next call repeats the same files under the same name and
     replaces what was written. Moving processed files away is optional housekeeping.
     """
-
-    name = f"{load_prefix}{_checkpoint_id(lake, checkpoint)}-"
-
-    def load(batch: DataFrame, number: int) -> None:
-        ingest_records(lake, batch, f"{name}{number}")
-
-    records = stream_records(lake.spark, inbox, max_files_per_batch=max_files_per_batch)
-    query = (
-        records.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    try:
+    with lake.logged("pickup"):
+        name = f"{load_prefix}{_checkpoint_id(lake, checkpoint)}-"
+
+        def load(batch: DataFrame, number: int) -> None:
+            ingest_records(lake, batch, f"{name}{number}")
+
+        records = stream_records(lake.spark, inbox, max_files_per_batch=max_files_per_batch)
+        query = (
+            records.writeStream.foreachBatch(load)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
         query.awaitTermination()
-    except Exception as error:
-        lake.log_error("pickup", error)
-        raise
