@@ -126,9 +126,12 @@ class Lake:
     def errors(self) -> DataFrame:
         return read_or_empty(self.spark, self.errors_path, ERROR_SCHEMA)
 
+    def log_errors(self, rows: DataFrame) -> None:
+        """Append rows of etl_name, client_name and exception_message to the error log, dated now."""
+        dated = rows.withColumn("date_time", F.current_timestamp()).select(*ERROR_SCHEMA.names)
+        append_rows(dated, self.errors_path)
+
     def log_error(self, step: str, error: Exception, client: str = "") -> None:
         """Append one row to the error log."""
-        row = self.spark.createDataFrame(
-            [(None, step, client, str(error))], ERROR_SCHEMA
-        ).withColumn("date_time", F.current_timestamp())
-        append_rows(row.coalesce(1), self.errors_path)
+        columns = "etl_name string, client_name string, exception_message string"
+        self.log_errors(self.spark.createDataFrame([(step, client, str(error))], columns).coalesce(1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from workload.inputs import (
     LEVELS_PER_SOUNDING,
     MESSY_DECLARED,
@@ -151,6 +153,27 @@ heights AS (
 JOINED = f"WITH {RENDERED}, {TABLES} SELECT {PUBLISHED} FROM headers JOIN levels USING (uid)"
 MIDDLE = "(SELECT max(o_orderkey) // 2 FROM orders)"
 
+
+
+def _cells(decoded: str) -> str:
+    """The columns named in a list of decoded ones, as one text."""
+    names = re.findall(r" AS (\w+)(?=,|$)", decoded.strip().replace("\n", " "))
+    return f"concat_ws('|', {', '.join(f"coalesce(cast({n} AS varchar), 'none')" for n in names)})"
+
+
+#: Published rows of the loads a then b, of files with even and with odd numbers: of equal uids the first is kept.
+IN_TWO_LOADS = f"""
+{MESSY},
+checked AS (
+  SELECT b, (b // {SOUNDINGS_PER_FILE}) % 2 AS part, header, {HEADER_UID} AS uid, length(header) <> 71 AS bad FROM heads),
+accepted AS (
+  SELECT b, header, uid FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid, bad ORDER BY part, b) AS place FROM checked)
+  WHERE NOT bad AND place = 1),
+sized AS (
+  SELECT b, gated.uid, line FROM gated JOIN accepted USING (b) WHERE length(line) = 52)
+"""
+
 ORACLES = {
     "header_decode": f"WITH {RENDERED} SELECT {HEADER_DECODED}, {HEADER_UID} AS uid FROM raw_h",
     "spec_decode": f"WITH {RENDERED} SELECT {HEADER_DECODED}, {HEADER_UID} AS uid FROM raw_h",
@@ -166,7 +189,11 @@ ORACLES = {
         UNION ALL
         SELECT concat(lvltyp1,',',lvltyp2,',',etime,',',press,',"',pflag,'",',gph,',"',zflag,'",',temp,
           ',"',tflag,'",',rh,',',dpdp,',',wdir,',',wspd,',"',uid,'"') FROM l""",
-    "csv_roundtrip": f"WITH {RENDERED} SELECT {HEADER_DECODED}, {HEADER_UID} AS uid FROM raw_h",
+    "csv_roundtrip": f"""WITH {RENDERED},
+        h AS (SELECT {HEADER_DECODED}, {HEADER_UID} AS uid FROM raw_h),
+        l AS (SELECT {LEVEL_DECODED}, cast(l_orderkey AS varchar) AS uid FROM raw_l)
+        SELECT 'header' AS kind, uid, {_cells(HEADER_DECODED)} AS cells FROM h
+        UNION ALL SELECT 'level', uid, {_cells(LEVEL_DECODED)} FROM l""",
     "block_scan_levels": f"""WITH {CLEAN},
         l AS (SELECT {HEADER_UID} AS uid, {LEVEL_DECODED} FROM lines JOIN heads USING (b))
         SELECT uid, count(*) AS levels, cast(sum(gph) AS bigint) AS sum_gph,
@@ -308,6 +335,10 @@ ORACLES = {
     "control_after_runs": f"""WITH {LOADED}
         SELECT 1 AS id, 'soundings' AS etl_name, 'N' AS skip_execution, 'N' AS full_load,
           'HEADER_ID' AS filter_col1_name, cast(max(header_id) AS varchar) AS filter_col1_value FROM accepted""",
-    "processed_ledger": """SELECT concat('order-', o_orderkey, '.txt') AS file FROM orders
-        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+    "processed_ledger": f"""WITH {MESSY}
+        SELECT header FROM heads WHERE b > (SELECT max(b) // 2 FROM heads)""",
+    "published_jobs": f"""WITH {IN_TWO_LOADS},
+        h AS (SELECT uid, {HEADER_DECODED} FROM accepted),
+        l AS (SELECT uid, {LEVEL_DECODED} FROM sized WHERE {LEVEL_OK})
+        SELECT {PUBLISHED}, {BAND} AS partition_gph FROM h JOIN l USING (uid)""",
 }

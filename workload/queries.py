@@ -39,23 +39,25 @@ from sondelake.operators.quality import (
     wide_name,
 )
 from sondelake.operators.scratch import scratch_path, write_scratch
-from sondelake.plans.ingest import ingest, ingest_records
+from sondelake.plans.ingest import ingest, ingest_records, pending_files
 from sondelake.plans.lake import Lake
 from sondelake.plans.publish import publish
 from sondelake.plans.staged import load_staged
 from sondelake.schemas import (
     CONTROL_NOT_NULL,
     CONTROL_TEXT_WIDTHS,
-    ERROR_SCHEMA,
+    HEADER_SCHEMA,
+    LEVEL_SCHEMA,
     PUBLISHED_COLUMNS,
     seed_control,
 )
-from sondelake.sources.blocks import read_blocks
+from sondelake.sources.blocks import literal_path, read_blocks
 from sondelake.sources.published import read_published, write_banded
 from sondelake.sources.staged_csv import (
     STAGED_HEADER_SCHEMA,
     STAGED_LEVEL_SCHEMA,
     read_staged_headers,
+    read_staged_levels,
     write_staged,
 )
 from sondelake.streaming.pickup import pickup
@@ -119,12 +121,23 @@ def csv_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header and level rows staged as CSV and read back, their columns as one text per row."""
     headers = decode_headers(inputs.header_blocks(spark, sf_dir)).withColumn(
         "file", F.concat("file", F.lit(".part.txt"))
     )
-    path = scratch_path(spark, "csv")
-    write_staged(headers, STAGED_HEADER_SCHEMA, path, "file")
-    return read_staged_headers(spark, path)
+    levels = inputs.level_table(spark, sf_dir).withColumn(
+        "file", F.expr("concat('f', lpad(cast(cast(uid as long) % 16 as string), 3, '0'), '.part.txt')")
+    )
+    folders = scratch_path(spark, "csv-headers"), scratch_path(spark, "csv-levels")
+    write_staged(headers, STAGED_HEADER_SCHEMA, folders[0], "file")
+    write_staged(levels, STAGED_LEVEL_SCHEMA, folders[1], "file")
+
+    def as_text(rows: DataFrame, kind: str) -> DataFrame:
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in rows.columns if c != "uid"]
+        return rows.select(F.lit(kind).alias("kind"), "uid", F.concat_ws("|", *cells).alias("cells"))
+
+    back = read_staged_headers(spark, folders[0]), read_staged_levels(spark, folders[1])
+    return as_text(back[0], "header").union(as_text(back[1], "level"))
 
 
 # --- blocks from files ----------------------------------------------------------------------
@@ -326,15 +339,25 @@ def _height():
     )
 
 
+def _with_columns(rows: DataFrame, schema) -> DataFrame:
+    """The rows with the columns of a table that they lack, empty."""
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in rows.columns}
+    return rows.withColumns(missing)
+
+
 def band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: full load of orders and lineitem, rows and mean height per band."""
-    headers = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("uid"))
+    """Flagship: full load of orders and lineitem, rows and heights per band."""
+    headers = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("header_id"), F.col("o_orderkey").cast("string").alias("uid")
+    )
     levels = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("uid"),
+        F.col("l_orderkey").cast("string").alias("uid"),
         F.floor(F.col("l_extendedprice") / 10).cast("int").alias("gph"),
     )
-    banded = with_band(headers.join(levels, "uid"))
-    return banded.groupBy(PARTITION_COLUMN).agg(
+    loaded = extract(
+        _with_columns(headers, HEADER_SCHEMA), _with_columns(levels, LEVEL_SCHEMA), _top(spark, sf_dir)
+    )
+    return with_band(loaded).groupBy(PARTITION_COLUMN).agg(
         F.count("*").alias("rows"), F.sum("gph").alias("sum_gph"), F.max("gph").alias("max_gph")
     )
 
@@ -403,15 +426,14 @@ def field_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part")
+    """Messages with quotes, one per part, appended to a lake's error log and read from it."""
     message = F.concat(F.lit("can't load '"), "p_name", F.lit("'"))
-    rows = parts.select(
-        F.current_timestamp().alias("date_time"),
-        F.col("p_type").alias("etl_name"),
-        F.lit("").alias("client_name"),
-        double_quotes(message).alias("exception_message"),
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_type").alias("etl_name"), F.lit("").alias("client_name"), double_quotes(message).alias("exception_message")
     )
-    return rows.select(*ERROR_SCHEMA.names).drop("date_time")
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.log_errors(rows)
+    return lake.errors().where("date_time IS NOT NULL").drop("date_time")
 
 
 # --- whole runs -----------------------------------------------------------------------------
@@ -499,10 +521,8 @@ def _grown(spark: SparkSession, sf_dir: str) -> Lake:
     def make() -> Lake:
         lake = Lake(spark, scratch_path(spark, "lake"))
         inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "pickup")
-        lines = write_scratch(inputs.sounding_lines(spark, sf_dir, messy=True), "lines")
-        middle = lines.agg(F.max("b")).head()[0] // 2
         lake.control.replace(seed_control(spark, JOB))
-        for half in (lines.where(F.col("b") <= middle), lines.where(F.col("b") > middle)):
+        for half in _halves(spark, sf_dir):
             inputs.write_soundings(half, inbox)
             pickup(lake, inbox, checkpoint)
             publish(lake, JOB)
@@ -547,15 +567,39 @@ def control_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "etl_name", "skip_execution", "full_load", "filter_col1_name", "filter_col1_value")
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Lines of the first and of the second half of all messy soundings."""
+    lines = write_scratch(inputs.sounding_lines(spark, sf_dir, messy=True), "lines")
+    middle = lines.agg(F.max("b")).head()[0] // 2
+    return [lines.where(F.col("b") <= middle), lines.where(F.col("b") > middle)]
+
+
 def processed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders not yet covered by the ledger of file names already processed."""
-    files = table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("order-"), "o_orderkey", F.lit(".txt")).alias("file")
-    )
-    ledger = table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("order-"), "l_orderkey", F.lit(".txt")).alias("file")
-    )
-    return files.join(ledger.distinct(), "file", "left_anti")
+    """Headers of the files that are still to be loaded when a half of them is in the ledger."""
+    lake, inbox = Lake(spark, scratch_path(spark, "lake")), scratch_path(spark, "inbox")
+    first, second = _halves(spark, sf_dir)
+    inputs.write_soundings(first, inbox)
+    ingest(lake, inbox, "first")
+    inputs.write_soundings(second, inbox)
+    files = [literal_path(row.file) for row in pending_files(lake, inbox).collect()]
+    return read_blocks(spark, files).select("header")
+
+
+def published_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs that publish the same lake in turn, with a mark set back: each row once."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    jobs = [seed_control(spark, name).withColumn("id", F.lit(k)) for k, name in enumerate(("a", "b"), 1)]
+    lake.control.replace(jobs[0].union(jobs[1]))
+    records = inputs.sounding_records(spark, sf_dir, inputs.SOUNDINGS_PER_FILE)
+    records = write_scratch(records.withColumn("part", F.expr("cast(substr(file, 2, 8) as int) % 2")), "records")
+    for part, runs in enumerate((["a", "b"], ["a", "b", "a"])):
+        ingest_records(lake, records.where(F.col("part") == part).drop("part"), f"part-{part}")
+        for job in runs:
+            publish(lake, job)
+    behind = F.when(F.col("etl_name") == "b", F.lit("1")).otherwise(F.col("filter_col1_value"))
+    lake.control.replace(lake.control.rows().withColumn("filter_col1_value", behind))
+    publish(lake, "b")
+    return read_published(spark, lake.published_path).select(*PUBLISHED_COLUMNS, PARTITION_COLUMN)
 
 
 QUERIES = {
@@ -571,6 +615,6 @@ QUERIES = {
         control_select, control_first_row, control_advance, control_load_mode,
         route_files, datetime_texts, field_texts, error_rows,
         ingest_headers, ingest_levels, ingest_quarantine, load_counts, spec_ingest, ingest_whole_files, staged_load,
-        incremental_pickup, published_runs, control_after_runs, processed_ledger,
+        incremental_pickup, published_runs, control_after_runs, processed_ledger, published_jobs,
     )
 }
