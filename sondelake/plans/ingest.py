@@ -31,7 +31,7 @@ from sondelake.operators.quality import (
 )
 from sondelake.operators.scratch import scratch_area, write_scratch
 from sondelake.plans.lake import Lake
-from sondelake.sources.blocks import assemble_blocks, cut_lines, inbox_files, literal_path, read_records
+from sondelake.sources.blocks import all_blocks, bounded_records, cut_lines, inbox_files, literal_path
 from sondelake.sources.tables import LOAD_COLUMN
 
 
@@ -192,9 +192,12 @@ def _ingest_by_file(lake: Lake, blocks: DataFrame, load_id: str) -> None:
     write_headers(lake, good, load_id)
 
 
-def ingest_records(lake: Lake, records: DataFrame, load_id: str) -> DataFrame:
+def ingest_records(lake: Lake, records: DataFrame, load_id: str, files: DataFrame | None = None) -> DataFrame:
     """Load raw records (file, block_start, value) and return the load's ledger rows.
 
+    ``files`` (file, length) lists the files that the records were read from. With it, files of which
+    `bounded_records` has left a part out are scanned by line, and files without records are in the ledger too.
+
     A load replaces whatever an earlier attempt with the same ``load_id`` wrote. One load runs in a lake at
     a time; a second one is refused.
     """
@@ -202,12 +205,14 @@ def ingest_records(lake: Lake, records: DataFrame, load_id: str) -> DataFrame:
     with lake.writing(load_id), scratch_area(lake.spark):
         lake.ranges.drop_load(load_id)  # of an attempt that died: its levels are about to change
         cut = write_scratch(cut_lines(records, lake.header_layout), "blocks")
-        blocks = assemble_blocks(cut)
+        blocks = all_blocks(cut, lake.header_layout, files)
         if lake.whole_files:
             _ingest_by_file(lake, blocks, load_id)
         else:
             _ingest_by_block(lake, blocks, load_id)
         found = cut.groupBy("file").agg(F.count("*").alias("blocks"))
+        if files is not None:
+            found = files.select("file").join(found, "file", "left").na.fill(0, ["blocks"])
         lake.ledger.write_load(ledger_rows(found, lake, load_id), load_id)
     return lake.ledger.read_load(load_id)
 
@@ -235,7 +240,9 @@ def ingest(lake: Lake, inbox: str, load_id: str) -> DataFrame | None:
     """
     with lake.logged("ingest"):
         refuse_finished(lake, load_id)
-        names = [row.file for row in pending_files(lake, inbox).select("file").toLocalIterator()]
+        pending = write_scratch(pending_files(lake, inbox).select("file", "length"), "pending")
+        names = [row.file for row in pending.select("file").toLocalIterator()]
         if not names:
             return None
-        return ingest_records(lake, read_records(lake.spark, [literal_path(n) for n in names]), load_id)
+        records = bounded_records(lake.spark, [literal_path(n) for n in names])
+        return ingest_records(lake, records, load_id, pending)

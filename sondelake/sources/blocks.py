@@ -11,7 +11,10 @@ What the record text alone cannot tell is settled afterwards from narrow columns
 * the last record of a file still has the line break that ends the file, which must not count
   as an empty line.
 
-One block must fit one task's memory (a file without any header is one record).
+Batch reads pass over records longer than `LONGEST_RECORD`: the bytes of a file's records then do not add
+up to the file's size, and that file is scanned line by line instead (`long_blocks`). So neither a file without
+headers nor junk after a block needs memory of its size. Streaming reads, which have no list of their
+files to check against, read every record, whatever its length.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import re
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -37,6 +40,10 @@ INBOX_EXTENSION = "txt"
 _BARE_SEPARATOR = "\r#"
 _ANY_BREAK = r"\r\n|\r|\n"
 
+#: Bytes of the longest record that is read as one; a block of 9999 lines has about half a megabyte.
+LONGEST_RECORD = 32 << 20
+_LONGEST = "mapreduce.input.linerecordreader.line.maxlength"
+
 _EXTRA_MARK = "extra_mark"
 _PREAMBLE = "preamble"
 _FINAL_BREAK = "final_break"
@@ -80,6 +87,17 @@ def read_records(
     return _with_origin(_configured(spark.read, extension).text(paths))
 
 
+def bounded_records(spark: SparkSession, paths: str | list[str], extension: str = INBOX_EXTENSION) -> DataFrame:
+    """`read_records` without those longer than `LONGEST_RECORD`, which `all_blocks` makes up for."""
+    return _with_origin(_configured(spark.read, extension).option(_LONGEST, LONGEST_RECORD).text(paths))
+
+
+def listed_files(spark: SparkSession, paths: str | list[str], extension: str = INBOX_EXTENSION) -> DataFrame:
+    """(file, length) of the files that `read_records` reads, without content."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}").load(paths)
+    return listing.select(F.col("_metadata.file_path").alias("file"), "length")
+
+
 def stream_records(
     spark: SparkSession,
     inbox: str,
@@ -97,16 +115,18 @@ def cut_lines(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     """Split records into lines and number them; one narrow stage.
 
     ``seq`` is unique over the scan and rises within a file split, so that
-    (block_start, seq) is the order of blocks in a file.
+    (block_start, seq) is the order of blocks in a file. ``bytes`` are those of a record and the
+    separator after it.
     """
     has_cr = F.contains("value", F.lit("\r"))
     pieces = records.select(
         "file",
         "block_start",
+        F.octet_length("value").alias("bytes"),
         # A carriage return alone also ends a line; inside a record it may hide a header.
-        F.explode(
+        F.posexplode(
             F.when(has_cr, F.split("value", _BARE_SEPARATOR)).otherwise(F.array("value"))
-        ).alias("value"),
+        ).alias("piece", "value"),
     )
     # Half of a CRLF is left when the separator took the other half.
     text = F.when(
@@ -115,6 +135,7 @@ def cut_lines(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     numbered = pieces.select(
         "file",
         "block_start",
+        F.when(F.col("piece") == 0, F.col("bytes") + len(BLOCK_SEPARATOR)).otherwise(0).alias("bytes"),
         F.monotonically_increasing_id().alias("seq"),
         F.endswith("value", F.lit("\n")).alias("open_end"),
         F.when(has_cr, F.split(text, _ANY_BREAK)).otherwise(F.split(text, "\n")).alias("lines"),
@@ -126,6 +147,7 @@ def cut_lines(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
     return numbered.select(
         "file",
         "block_start",
+        "bytes",
         "seq",
         first_line.alias("first_line"),
         F.slice("lines", 2, F.greatest(n_body, F.lit(0))).alias("body"),
@@ -204,9 +226,84 @@ def assemble_blocks(cut: DataFrame) -> DataFrame:
     )
 
 
-def stage_blocks(records: DataFrame, layout: Layout = HEADER_LAYOUT) -> DataFrame:
-    """Read the text once, keep it as columns, and return its blocks."""
-    return assemble_blocks(write_scratch(cut_lines(records, layout), "blocks"))
+def unread_files(cut: DataFrame, files: DataFrame) -> list[str]:
+    """Those of the ``files`` (file, length) of which the reader has passed over a part.
+
+    They hold a record longer than `LONGEST_RECORD` and are few; their names are an input path each.
+    """
+    read = cut.groupBy("file").agg((F.sum("bytes") - len(BLOCK_SEPARATOR)).alias("read"))
+    short = files.join(read, "file", "left").where(F.coalesce("read", F.lit(0)) < F.col("length"))
+    return [row.file for row in short.select("file").collect()]
+
+
+def long_blocks(spark: SparkSession, files: list[str], layout: Layout = HEADER_LAYOUT) -> DataFrame:
+    """Blocks of files that hold very long ones, scanned line by line.
+
+    Of a block, the header and the lines that it announces are kept; what comes after them, or before a
+    file's first header, is passed over. Lines are numbered within their file split; a split hands on
+    to the next ones the place of its last header and its number of lines (one row per split). So lines find
+    their header wherever the file is cut, and no task holds more than a split or one block's announced
+    lines.
+    """
+    raw = spark.read.option(_LONGEST, LONGEST_RECORD).text([literal_path(f) for f in files])
+    # The numbers stay clear of those of the other files' blocks.
+    seq = F.monotonically_increasing_id() - (1 << 62)
+    lines = write_scratch(_with_origin(raw).withColumn("seq", seq), "long-lines")
+
+    split = Window.partitionBy("file", "block_start").orderBy("seq")
+    so_far = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    narrow = lines.select("file", "block_start", "seq", F.startswith("value", F.lit(MARK)).alias("is_header"))
+    placed = narrow.withColumn("at", F.row_number().over(split))
+    head = F.when(F.col("is_header"), F.struct("at", "seq"))
+    placed = placed.withColumn("head", F.max(head).over(so_far))
+
+    ends = placed.groupBy("file", "block_start").agg(F.max("at").alias("n"), F.max("head").alias("last"))
+    earlier = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = ends.withColumn("lines_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    in_file = F.when(
+        F.col("last").isNotNull(),
+        F.struct((F.col("lines_before") + F.col("last.at")).alias("at"), F.col("last.seq").alias("seq")),
+    )
+    carried = counted.select(
+        "file", "block_start", "lines_before", F.max(in_file).over(earlier).alias("carried")
+    )
+
+    here = F.struct((F.col("lines_before") + F.col("head.at")).alias("at"), F.col("head.seq").alias("seq"))
+    own = F.when(F.col("head").isNotNull(), here).otherwise(F.col("carried"))
+    known = placed.join(carried, ["file", "block_start"]).withColumn("own", own).select(
+        "seq", F.col("own.seq").alias("head_seq"), (F.col("lines_before") + F.col("at") - F.col("own.at")).alias("pos")
+    )
+    most = 10**layout.count_field.length - 1
+    headers = lines.where(F.startswith("value", F.lit(MARK))).select(
+        F.col("seq").alias("head_seq"), F.coalesce(level_count("value", layout), F.lit(0)).alias("n"), "file", "block_start"
+    )
+    wanted = known.where(F.col("pos") <= most).join(headers, "head_seq").where("pos = 0 OR pos <= n")
+    wanted = write_scratch(wanted.select("seq", "head_seq", "pos", F.col("file").alias("of"), F.col("block_start").alias("start")), "wanted")
+    texts = join_checked(lines.select("seq", "value"), wanted, "seq", "inner")
+    line = F.when(F.col("pos") > 0, F.struct("pos", "value"))
+    grouped = texts.groupBy("of", "start", "head_seq").agg(
+        F.max(F.when(F.col("pos") == 0, F.col("value"))).alias("header"),
+        F.array_sort(F.collect_list(line)).alias("body"),  # no more than the header announces
+    )
+    return grouped.select(
+        F.col("of").alias("file"),
+        F.col("start").alias("block_start"),
+        F.col("head_seq").alias("seq"),
+        "header",
+        F.transform("body", lambda b: b.value).alias("body"),
+    )
+
+
+def all_blocks(cut: DataFrame, layout: Layout = HEADER_LAYOUT, files: DataFrame | None = None) -> DataFrame:
+    """Blocks from the written output of `cut_lines`.
+
+    With the list of ``files`` (file, length) read, those that hold very long blocks are scanned by line.
+    """
+    unread = unread_files(cut, files) if files is not None else []
+    if not unread:
+        return assemble_blocks(cut)
+    whole = cut.where(~F.col("file").isin(unread))
+    return assemble_blocks(whole).unionByName(write_scratch(long_blocks(cut.sparkSession, unread, layout), "long-blocks"))
 
 
 def read_blocks(
@@ -215,5 +312,6 @@ def read_blocks(
     extension: str = INBOX_EXTENSION,
     layout: Layout = HEADER_LAYOUT,
 ) -> DataFrame:
-    """Blocks of all sounding files directly inside ``paths``."""
-    return stage_blocks(read_records(spark, paths, extension), layout)
+    """Blocks of all sounding files directly inside ``paths``. The text is read once and kept as columns."""
+    cut = write_scratch(cut_lines(bounded_records(spark, paths, extension), layout), "blocks")
+    return all_blocks(cut, layout, listed_files(spark, paths, extension))

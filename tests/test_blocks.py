@@ -135,3 +135,38 @@ def test_edge_fixes_beyond_the_broadcast_limit(spark, tmp_path, monkeypatch):
         put(tmp_path, f"{name}.txt", text)
     expected = [b for name in sorted(CASES) for b in model(CASES[name])]
     assert scan(spark, str(tmp_path)) == expected
+
+
+@pytest.mark.parametrize("split", [300, 1 << 27])
+def test_very_long_records_are_scanned_by_line(spark, tmp_path, monkeypatch, split):
+    """With a small bound, files whose blocks go on for long give the model's levels."""
+    import sondelake.sources.blocks as blocks
+
+    monkeypatch.setattr(blocks, "LONGEST_RECORD", 400)
+    draw = random.Random(split)
+    texts = {
+        "headless": "\n".join(level(str(k)) for k in range(60)) + "\n",
+        "one": f"{H2}\n" + "\n".join(level(str(k)) for k in range(80)) + "\n",
+        "junk_between": f"{level()}\n" * 30 + f"{H3}\n{level('1')}\n{level('2')}\n{level('3')}\n" + "junk\n" * 300 + f"{H2}\n{level('4')}\n\n{L}",
+        "short_tail": f"{H2}\n" + f"{L}\n" * 20 + f"{H3}\n{L}\n{L}\n",
+        "cr": f"{H2}\r\n" + f"{L}\r\n" * 20 + f"{H2}\r{level('7')}\r{level('8')}\r",
+        "small": f"{H2}\n{level('5')}\n{level('6')}\n",
+    }
+    for k in range(6):
+        parts = [draw.choice([H2, H3, header(40), header(9)[:-1], L, level("3")[:-1], "", "#"]) for _ in range(60)]
+        texts[f"mixed{k}"] = "\n".join(parts) + "\n"
+    for name, text in texts.items():
+        put(tmp_path / name, "a.txt", text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        found = {name: scan(spark, str(tmp_path / name)) for name in ("headless", "one", "junk_between", "cr")}
+        put(tmp_path / "all", "none.txt", "")
+        for name, text in texts.items():
+            put(tmp_path / "all", f"{name}.txt", text)
+        together = scan(spark, str(tmp_path / "all"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {name: model(texts[name]) for name in found}
+    # Blocks of both kinds of files keep numbers of their own.
+    assert together == [block for name in sorted(texts) for block in model(texts[name])]
