@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sondelake.llm.repetition import BASE_WIDTH, LIMITS, LINE_LIMIT
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -104,6 +106,47 @@ SELECT doc_id, source, size, source_size, target, weight,
 FROM k
 """
 
+
+def _repetition() -> str:
+    grams = ", ".join(
+        rf"""hits{n} AS (
+  SELECT DISTINCT r, unnest(range(i, i + {n})) AS p
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i : i + {n - 1}], ' ')) AS many
+    FROM d, unnest(range(1, CAST(len(w) AS BIGINT) - {n - 2})) AS t(i))
+  WHERE many > 1
+), sums{n} AS (
+  SELECT r, count(*) AS words, sum(length(w[p])) AS chars FROM hits{n} JOIN d USING (r) GROUP BY r
+)"""
+        for n in (BASE_WIDTH, *LIMITS)
+    )
+    joins = " ".join(f"LEFT JOIN sums{n} USING (r)" for n in (BASE_WIDTH, *LIMITS))
+    chars = ", ".join(f"CAST(coalesce(sums{n}.chars, 0) AS BIGINT) AS dup_chars_{n}" for n in LIMITS)
+    limits = {"dup_line_chars": LINE_LIMIT} | {f"dup_chars_{n}": limit for n, limit in LIMITS.items()}
+    good = " AND ".join(f"{column} <= CAST({limit} AS DOUBLE) * word_chars" for column, limit in limits.items())
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents
+), {grams}, lines AS (
+  SELECT r, line, row_number() OVER (PARTITION BY r, line) > 1 AS again
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), repeats AS (
+  SELECT r, count(*) AS n, sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS chars FROM lines WHERE again GROUP BY r
+), counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(sums{BASE_WIDTH}.words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(repeats.chars, 0) AS BIGINT) AS dup_line_chars, {chars}
+  FROM d LEFT JOIN repeats USING (r) {joins}
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+)
+SELECT *, NOT base_failed AND {good} AS kept FROM judged
+"""
+
+
+OP7 = _repetition()
+
 # The checksum byte by byte, eight shifts each.
 _CRC32 = """xor(CAST(4294967295 AS UBIGINT), list_reduce(
     list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS UBIGINT))),
@@ -191,6 +234,7 @@ ORACLES: dict[str, str] = {
     "op4_decontamination": OP4,
     "op5_substring_dedup": OP5,
     "op6_ngram_join": OP6,
+    "op7_repetition": OP7,
     "op8_mixing": OP8,
     "op11_prefix_trie": OP11,
     "op13_centroids": OP13,
