@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sondelake.operators.joins import is_empty_or_small, join_checked
 from sondelake.operators.scratch import write_scratch
 
+#: Claims of a component of files that one task walks; a claim is a uid and a file name.
+SETTLED_CLAIMS = 200_000
+
 # monotonically_increasing_id() keeps the partition above this many bits of row number.
 _ROW_BITS = 33
 
@@ -70,10 +74,50 @@ def duplicates(keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     return keys.select("seq").join(first_per_uid(keys, existing), "seq", "left_anti")
 
 
+def _components(claims: DataFrame) -> DataFrame:
+    """``file, component``: files connected by shared uids have the same component, the first file's name.
+
+    Each round a file takes the smallest label that any of its uids meets, and then that label's own, so
+    distances shrink by a factor and the rounds are a logarithm of the longest chain.
+    """
+    labels = write_scratch(claims.select("file", F.col("file").alias("component")).distinct(), "labels")
+    while True:
+        per_uid = claims.join(labels, "file").groupBy("uid").agg(F.min("component").alias("least"))
+        near = claims.join(per_uid, "uid").groupBy("file").agg(F.min("least").alias("near"))
+        beyond = labels.select(F.col("file").alias("near"), F.col("component").alias("beyond"))
+        moved = write_scratch(labels.join(near, "file").join(beyond, "near").select("file", "component", "beyond"), "labels")
+        labels = moved.select("file", F.col("beyond").alias("component"))
+        if moved.where("beyond < component").isEmpty():
+            return labels
+
+
+def _by_component_size(claims: DataFrame, settled: int) -> tuple[DataFrame, DataFrame]:
+    """The claims of components that one task can walk, with their component, and all others."""
+    named = write_scratch(claims.join(_components(claims), "file"), "components")
+    small = named.groupBy("component").count().where(F.col("count") <= settled).select("component")
+    small = write_scratch(small, "small")
+    rest = join_checked(named, small, "component", "left_anti").select(*claims.columns)
+    return join_checked(named, small, "component", "left_semi"), write_scratch(rest, "open")
+
+
+def _walked(claims: pd.DataFrame) -> pd.DataFrame:
+    """Files of one component that are refused when they come one after the other."""
+    taken: set[str] = set()
+    refused = []
+    for file, uids in claims.groupby("file", sort=True)["uid"]:
+        if taken.isdisjoint(uids):
+            taken.update(uids)
+        else:
+            refused.append(file)
+    return pd.DataFrame({"file": refused}, dtype=object)
+
+
 def files_with_conflicts(
     keys: DataFrame,
     existing: DataFrame | None = None,
     already_refused: DataFrame | None = None,
+    *,
+    settled: int = SETTLED_CLAIMS,
 ) -> DataFrame:
     """(file) of the files that a file-at-a-time load would refuse for a uid conflict.
 
@@ -81,11 +125,11 @@ def files_with_conflicts(
     a uid that is in ``existing`` or in a file accepted before it; a refused file claims no
     uids. ``already_refused`` lists files that fail for another reason.
 
-    Only uids found in several files matter. Each round accepts every file that comes first
-    for all its open uids and refuses the files sharing a uid with an accepted one, until no
-    file is open; the number of rounds follows the longest chain of files in conflict. All steps
-    are aggregates or joins on distinct pairs; no pairs of files are ever formed. A round writes
-    what it settled, so that plans do not grow with the rounds.
+    Only uids found in several files matter, and only files connected by such uids bear on one another. A
+    component of files with up to ``settled`` claims is walked in name order by one task. A larger one
+    is settled by rounds: each accepts every file that comes first for all its open uids and refuses the
+    files sharing a uid with an accepted one; their number follows the longest chain of files in conflict. No
+    pairs of files are ever formed. A round writes what it settled, so that plans do not grow.
     """
     per_file = keys.groupBy("uid", "file").agg(F.count("*").alias("n"))
     claims = write_scratch(per_file, "claims")
@@ -110,6 +154,9 @@ def files_with_conflicts(
         join_checked(valid, write_scratch(shared, "shared"), "uid", "left_semi"),
         "open",
     )
+    if not open_claims.isEmpty():
+        small, open_claims = _by_component_size(open_claims, settled)
+        refused = write_scratch(refused.union(small.groupBy("component").applyInPandas(_walked, "file string")), "refused")
     while not open_claims.isEmpty():
         leaders = open_claims.groupBy("uid").agg(F.min("file").alias("file"))
         led = leaders.groupBy("file").agg(F.count("*").alias("led"))
@@ -118,11 +165,11 @@ def files_with_conflicts(
         gone = leaders.join(accepted, "file", "left_semi").select("uid", F.col("file").alias("winner"))
         lost = join_checked(open_claims, write_scratch(gone, "won"), "uid", "inner")
         lost = lost.where("file <> winner").select("file").distinct()
-        settled = accepted.withColumn("lost", F.lit(False)).union(lost.withColumn("lost", F.lit(True)))
-        settled = write_scratch(settled, "settled")
-        refused = write_scratch(refused.union(settled.where("lost").select("file")), "refused")
+        decided = accepted.withColumn("lost", F.lit(False)).union(lost.withColumn("lost", F.lit(True)))
+        decided = write_scratch(decided, "decided")
+        refused = write_scratch(refused.union(decided.where("lost").select("file")), "refused")
         open_claims = write_scratch(
-            join_checked(open_claims, settled.select("file"), "file", "left_anti"), "open"
+            join_checked(open_claims, decided.select("file"), "file", "left_anti"), "open"
         )
     return refused
 

@@ -35,6 +35,10 @@ from sondelake.sources.blocks import all_blocks, bounded_records, cut_lines, inb
 from sondelake.sources.tables import LOAD_COLUMN
 
 
+#: Files of one slice of a large inbox.
+MAX_FILES = 10_000
+
+
 def _block_quarantine(blocks: DataFrame, layout: Layout) -> DataFrame:
     """Whole refused blocks; ``blocks`` carries the reason."""
     return blocks.select(
@@ -236,7 +240,7 @@ def ingest(lake: Lake, inbox: str, load_id: str) -> DataFrame | None:
     ledger, so they are among the new ones.
 
     The list of new file names passes through the driver, as every list of input paths does.
-    For a steadily filled inbox use `streaming.pickup`, which keeps that list in its checkpoint.
+    For a large inbox use `ingest_all`, for a steadily filled one `streaming.pickup`.
     """
     with lake.logged("ingest"):
         refuse_finished(lake, load_id)
@@ -246,3 +250,33 @@ def ingest(lake: Lake, inbox: str, load_id: str) -> DataFrame | None:
             return None
         records = bounded_records(lake.spark, [literal_path(n) for n in names])
         return ingest_records(lake, records, load_id, pending)
+
+
+def ingest_all(lake: Lake, inbox: str, load_id: str, max_files: int = MAX_FILES) -> DataFrame | None:
+    """Load the inbox files not loaded before in slices of at most ``max_files``; None if there are none.
+
+    The files found are written down once, as the manifest of ``load_id``, and each slice is a load of its
+    own, so the driver holds the names of one slice only. After a failure the same call goes on with
+    the slices that are not in the ledger. A finished load id is refused.
+    """
+    with lake.logged("ingest"):
+        manifest = lake.manifest.read_load(load_id)
+        if manifest.isEmpty():
+            with scratch_area(lake.spark):
+                found = serial_ids(pending_files(lake, inbox).select("file", "length"), ["file"], name="n")
+                slice_of = F.expr(f"cast((n - 1) div {max_files} as int)").alias("slice")
+                lake.manifest.write_load(found.select(slice_of, "file", "length"), load_id)
+            manifest = lake.manifest.read_load(load_id)
+        slices = {f"{load_id}-{r.slice:06d}": r.slice for r in manifest.select("slice").distinct().orderBy("slice").collect()}
+        if not slices:
+            lake.manifest.drop_load(load_id)
+            return None
+        finished = {r[0] for r in lake.ledger.read().select(LOAD_COLUMN).distinct().where(F.col(LOAD_COLUMN).startswith(f"{load_id}-")).collect()}
+        if finished.issuperset(slices):
+            raise ValueError(f"load {load_id!r} is finished; new files need a load id of their own")
+        for name, number in slices.items():
+            if name not in finished:
+                files = manifest.where(F.col("slice") == number).select("file", "length")
+                paths = [literal_path(row.file) for row in files.select("file").toLocalIterator()]
+                ingest_records(lake, bounded_records(lake.spark, paths), name, files)
+        return lake.ledger.read().where(F.col(LOAD_COLUMN).isin(list(slices)))

@@ -13,6 +13,7 @@ from sondelake.operators.control import ControlTable
 from sondelake.schemas import (
     ERROR_SCHEMA,
     LEDGER_SCHEMA,
+    MANIFEST_SCHEMA,
     QUARANTINE_SCHEMA,
     RANGE_SCHEMA,
     UID_SCHEMA,
@@ -68,6 +69,7 @@ class Lake:
         self.uid_parts = LoadTable(spark, f"{root}/uid_parts", UID_SCHEMA)
         self.quarantine = LoadTable(spark, f"{root}/quarantine", QUARANTINE_SCHEMA)
         self.ledger = LoadTable(spark, f"{root}/ledger", LEDGER_SCHEMA)
+        self.manifest = LoadTable(spark, f"{root}/manifest", MANIFEST_SCHEMA)
         self.control = ControlTable(spark, f"{root}/control")
         self.errors_path = f"{root}/errors"
         self.published_path = f"{root}/published"

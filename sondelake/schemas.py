@@ -78,6 +78,15 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+#: Files that a load in slices is to load.
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("slice", T.IntegerType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("length", T.LongType()),
+    ]
+)
+
 #: One row per load: the ids of its headers, and whether its levels carry the columns of their headers.
 RANGE_SCHEMA = T.StructType(
     [

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 
-def header(numlev="2", station="USM00070261", year="1930", month="08", day="26", hour="99",
-           reltime="1700", p_src="", np_src="cdmp-usm", lat="648161", lon="-1478767"):
+def header(numlev="2", station="ZZA00012345", year="1954", month="03", day="17", hour="06",
+           reltime="1125", p_src="", np_src="own-src1", lat="123456", lon="-7654321"):
     line = (
         f"#{station:<11} {year:>4} {month:>2} {day:>2} {hour:>2} {reltime:>4} {str(numlev):>4} "
         f"{p_src:<8} {np_src:<8} {lat:>7} {lon:>8}"
@@ -22,7 +22,7 @@ def level(gph="250", temp="-9999", pflag="", tflag="", wspd="20"):
     return line
 
 
-def uid(station="USM00070261", year="1930", month="08", day="26", hour="99", reltime="1700"):
+def uid(station="ZZA00012345", year="1954", month="03", day="17", hour="06", reltime="1125"):
     return f"{station}{year}{month}{day}{hour}{reltime}"
 
 

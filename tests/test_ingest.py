@@ -30,7 +30,7 @@ def test_clean_load(spark, tmp_path):
     assert [(r.header_id, r.uid) for r in rows] == [
         (1, uid(reltime="0300")), (2, uid(reltime="0100")), (3, uid(reltime="0200"))
     ]
-    assert rows[0].month == 8 and rows[0].p_src == "" and rows[0].lon == -1478767
+    assert rows[0].month == 3 and rows[0].p_src == "" and rows[0].lon == -7654321
     assert times(lake.levels.read(), "uid", "gph") == sorted(
         [(uid(reltime="0300"), 5000)] + [(uid(reltime="0100"), 250)] * 2
         + [(uid(reltime="0200"), 250)] * 3
@@ -210,7 +210,7 @@ def test_checkpoints_do_not_share_load_ids(spark, tmp_path):
 
 
 def test_staged_files_of_one_folder(spark, tmp_path):
-    rows = ["A1,1930,8,26,9,10,1,,src,4,5,u1", "A1,1930,8,26,9,10,1,,src,4,5,u1", "A2,1930,8,x,9,10,1,,src,4,5,u2"]
+    rows = ["A1,1954,3,17,6,10,1,,src,4,5,u1", "A1,1954,3,17,6,10,1,,src,4,5,u1", "A2,1954,3,x,6,10,1,,src,4,5,u2"]
     folder = put(tmp_path / "in", "headers-a.CSV", "\n".join(rows) + "\n")
     put(tmp_path / "in", "records-a.csv", '3,0,1,2,"",250,"",3,"",4,5,6,7,u1\n')
     put(tmp_path / "in", "other.csv", "x\n")

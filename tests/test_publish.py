@@ -22,14 +22,14 @@ JOB = "soundings"
 
 
 def sounding(reltime, *heights):
-    return (f"USM{reltime}", heights)
+    return (f"ZZA{reltime}", heights)
 
 
 def load(lake, load_id, *soundings):
     """Put soundings into the tables of a lake as a load would, without text files."""
     first = (lake.headers.read().agg(F.max("header_id")).head()[0] or 0) + 1
     headers = [
-        (first + i, "USM00070261", 1930, 8, 26, 99, 0, len(gphs), "", "cdmp-usm", 1, 2, key, load_id)
+        (first + i, "ZZA00012345", 1954, 3, 17, 6, 0, len(gphs), "", "own-src1", 1, 2, key, load_id)
         for i, (key, gphs) in enumerate(soundings)
     ]
     levels = [
@@ -162,7 +162,7 @@ def test_unknown_range_column_fails_before_reading(lake):
 def test_padded_text(lake):
     publish(lake, JOB, padded=True)
     row = read_published(lake.spark, lake.published_path).head()
-    assert (row.id, row.np_src, row.pflag) == ("USM00070261 ", "cdmp-usm  ", "   ")
+    assert (row.id, row.np_src, row.pflag) == ("ZZA00012345 ", "own-src1  ", "   ")
 
 
 def test_only_the_named_row_advances(spark):
@@ -202,7 +202,7 @@ def test_whole_file_lake_joins_on_uid_alone(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"), whole_files=True)
     load(lake, "l1", sounding("0100", 250))
     # A second file whose header was refused: its levels belong to the first header.
-    levels = [(3, 0, 1, 2, "", 700, "", 3, "", 4, 5, 6, 7, "USM0100", "l2")]
+    levels = [(3, 0, 1, 2, "", 700, "", 3, "", 4, 5, 6, 7, "ZZA0100", "l2")]
     lake.levels.write_load(spark.createDataFrame(levels, LEVEL_SCHEMA), "l2")
     # A load that did not reach the ledger comes again under another id.
     assert {r.gph for r in published_rows(lake, 1).collect()} == {250}

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sondelake.operators.keys import loads_that_may_hold, uid_parts
-from sondelake.plans.ingest import existing_headers, ingest
+from sondelake.plans.ingest import existing_headers, ingest, ingest_all
 from sondelake.plans.lake import Lake
 from sondelake.plans.publish import publish, published_rows
 from sondelake.schemas import CONTROL_SCHEMA, PUBLISHED_COLUMNS
@@ -189,8 +189,8 @@ def test_repeated_load_takes_its_range_back(filled, tmp_path, monkeypatch):
 
 def test_only_loads_that_can_hold_the_uids_are_read(spark, filled):
     lake, more = filled
-    more(1, station="USM00099999")
-    more(2, year="1931")
+    more(1, station="ZZA00099999")
+    more(2, year="1955")
     new = spark.createDataFrame([(uid(month="02"),), (uid(year="1990"),)], "uid string")
     old = lake.uid_parts.read()
     loads = loads_that_may_hold(new, lake.headers.read(), old, LOAD_COLUMN)
@@ -266,3 +266,46 @@ def test_errors_before_a_run_are_logged(filled, monkeypatch):
     with pytest.raises(ValueError, match="finished"):
         ingest(lake, "/nowhere/at/all", "l0")
     assert sorted(r.etl_name for r in lake.errors().collect()) == ["ingest", "publish"]
+
+
+def test_large_inbox_in_slices(spark, tmp_path, monkeypatch):
+    """Slices are loads of their own; a failed one is done again, finished ones are not."""
+    for k in range(1, 8):
+        inbox = put(tmp_path / "in", f"f{k}.txt", sounding(k, month=f"{k:02}"))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    write = lake.levels.write_load
+
+    def fail(rows, load_id):
+        if load_id.endswith("1"):
+            raise RuntimeError("lost")
+        write(rows, load_id)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake.levels, "write_load", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            ingest_all(lake, inbox, "big", max_files=3)
+    assert lake.headers.read().count() == 3
+    put(tmp_path / "in", "late.txt", sounding(9, month="09"))  # not in the manifest
+    ledger = ingest_all(lake, inbox, "big", max_files=3).collect()
+    assert sorted(r.load_id for r in ledger) == ["big-000000"] * 3 + ["big-000001"] * 3 + ["big-000002"]
+    assert sorted(r.header_id for r in lake.headers.read().collect()) == [1, 2, 3, 4, 5, 6, 7]
+    with pytest.raises(ValueError, match="finished"):
+        ingest_all(lake, inbox, "big", max_files=3)
+    assert ingest_all(lake, inbox, "more").count() == 1
+    assert ingest_all(lake, inbox, "none") is None
+
+
+def test_file_without_any_header_is_loaded_once(spark, tmp_path, monkeypatch):
+    """Its one record is too long to be read, but the ledger has the file."""
+    import sondelake.sources.blocks as blocks
+
+    monkeypatch.setattr(blocks, "LONGEST_RECORD", 200)
+    inbox = put(tmp_path / "in", "a.txt", f"{level()}\n" * 50)
+    put(tmp_path / "in", "b.txt", sounding(5))
+    put(tmp_path / "in", "c.txt", sounding(6, month="04") + f"{level()}\n" * 50)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    assert {r.file[-5:]: (r.headers, r.levels) for r in ingest(lake, inbox, "l1").collect()} == {
+        "a.txt": (0, 0), "b.txt": (1, 1), "c.txt": (1, 1)
+    }
+    assert ingest(lake, inbox, "l2") is None
+    assert sorted(r.gph for r in lake.levels.read().collect()) == [5, 6]
