@@ -135,14 +135,15 @@ def _long_span(values: np.ndarray) -> int:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """62-bit hashes (as 64 spread bits) of ``values[start:end]``, equal for equal content wherever
-    it stands; ``starts`` ascend.
+    """62-bit hashes (as 64 spread bits) of ``values[start:end]``, equal for equal content wherever it stands.
 
     Two polynomial hashes modulo primes, from running sums; the inverse power of the start takes the
     position out. Memory beside the result does not grow with ``values``.
     """
     out = np.zeros(len(starts), dtype=np.uint64)
     short = np.flatnonzero(ends - starts <= _STRETCH)
+    if (starts[short][1:] < starts[short][:-1]).any():
+        short = short[np.argsort(starts[short], kind="stable")]
     first, last = starts[short], ends[short]
     done = 0
     while done < len(short):

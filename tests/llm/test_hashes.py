@@ -74,3 +74,5 @@ def test_stretches(monkeypatch):
     monkeypatch.setattr(words, "_tables", [])
     assert (words.span_hashes(values, starts, ends) == whole).all()
     assert whole[1] == whole[3] and len(set(whole.tolist())) == 4
+    mixed = draw.permutation(5)
+    assert (words.span_hashes(values, starts[mixed], ends[mixed]) == whole[mixed]).all()
