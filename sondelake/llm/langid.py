@@ -25,8 +25,8 @@ ROWS_PER_LANGUAGE = 64
 CHARS_PER_ROW = 2048
 #: Symbols of a language's sample, whatever the number of languages; its texts have even shares in them.
 SAMPLE_SYMBOLS = 16384
-#: Texts are parsed in stretches of this many symbols, each from a fresh phrase.
-STRETCH = 128
+#: Texts are parsed in stretches of this many symbols side by side; phrases go on from one to the next.
+STRETCH = 512
 
 SCHEMA = "doc_id long, lang_pred string, score double, n_letters long, bits double"
 
@@ -210,27 +210,66 @@ def fit(docs: DataFrame) -> Model:
     return build(samples)
 
 
-def _phrases(automaton: Automaton, width: int, rows: np.ndarray, active: np.ndarray) -> np.ndarray:
-    """Phrases that end within each column of ``rows``, of which the first ``active`` ones reach each row."""
+def _step(automaton: Automaton, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States after one more symbol each, and phrases that end with it."""
+    base, cells = automaton.base, automaton.cells
+    found = cells[base[state] + symbol].view(np.int32)
+    after = found[::2].copy()
+    ended = np.zeros(len(state), dtype=np.uint8)
+    # No transition: the phrase ends, and the next one begins with this symbol. A symbol that the
+    # sample does not hold is a phrase of its own. At the start no phrase is open.
+    miss = np.flatnonzero(found[1::2] != state)
+    found = cells[base[0] + symbol[miss]].view(np.int32)
+    known = found[1::2] == 0
+    after[miss] = np.where(known, found[::2], 0)
+    ended[miss] = 2 - known - (state[miss] == 0)
+    return after, ended
+
+
+def _phrases(automaton: Automaton, width: int, rows: np.ndarray, lengths: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Phrases that end within each column of ``rows``.
+
+    Columns are stretches of texts, the longest first; ``before`` tells the column that comes before each
+    in its text, or -1. All are parsed side by side as if no phrase were open at their start. Then those before
+    which one is open are parsed again from the true state, until their states are those of the first
+    time (most soon are). Where the end differs, the next stretch is looked at again.
+    """
     local = np.full(width, len(automaton.letters), dtype=np.int32)
     local[automaton.letters] = np.arange(len(automaton.letters))
-    base, cells = automaton.base, automaton.cells
+    active = np.searchsorted(-lengths, -np.arange(len(rows)), side="left")
+    states = np.zeros(rows.shape, dtype=np.int32)
+    ended = np.zeros(rows.shape, dtype=np.uint8)
     state = np.zeros(rows.shape[1], dtype=np.int32)
-    phrases = np.zeros(rows.shape[1], dtype=np.int64)
-    for row, n in zip(rows, active):
+    for k, n in enumerate(active):
         if not n:
             break
-        symbol, before = local[row[:n]], state[:n]
-        found = cells[base[before] + symbol].view(np.int32)
-        state = found[::2].copy()
-        # No transition: the phrase ends, and the next one begins with this symbol. A symbol that the
-        # sample does not hold is a phrase of its own. At the start no phrase is open.
-        miss = np.flatnonzero(found[1::2] != before)
-        found = cells[base[0] + symbol[miss]].view(np.int32)
-        known = found[1::2] == 0
-        state[miss] = np.where(known, found[::2], 0)
-        phrases[miss] += 2 - known - (before[miss] == 0)
-    return phrases
+        state[:n], ended[k, :n] = _step(automaton, state[:n], local[rows[k, :n]])
+        states[k, :n] = state[:n]
+
+    after = np.full(len(lengths), -1, dtype=np.int64)
+    after[before[before >= 0]] = np.flatnonzero(before >= 0)
+    ends = states[lengths - 1, np.arange(len(lengths))] if len(lengths) else state
+    again = np.flatnonzero(before >= 0)
+    again = again[ends[before[again]] != 0]
+    while len(again):
+        columns, state, changed = again, ends[before[again]], []
+        for k in range(len(rows)):
+            over = lengths[columns] == k
+            changed.append(columns[over])  # their ends differ
+            columns, state = columns[~over], state[~over]
+            if not len(columns):
+                break
+            state, ended[k, columns] = _step(automaton, state, local[rows[k, columns]])
+            apart = state != states[k, columns]
+            columns, state = columns[apart], state[apart]
+            states[k, columns] = state
+        else:
+            changed.append(columns)
+        moved = np.concatenate(changed)
+        ends[moved] = states[lengths[moved] - 1, moved]
+        again = after[moved]
+        again = again[again >= 0]
+    return ended.sum(axis=0, dtype=np.int64)
 
 
 def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -252,10 +291,12 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = np.argsort(order)
     rows = np.zeros((STRETCH, first[-1]), dtype=np.int32)
     rows[at % STRETCH, place[stretch]] = symbols
-    active = np.searchsorted(-lengths[order], -np.arange(STRETCH), side="left")
+    before = np.arange(-1, first[-1] - 1)
+    before[first[:-1][stretches > 0]] = -1  # a text's first stretch has none before it
+    before = np.where(before >= 0, place[before], -1)[order]
     phrases = np.zeros((n_texts, n_languages), dtype=np.int64)
     for k, automaton in enumerate(model.automata):
-        sums = np.concatenate([[0], np.cumsum(_phrases(automaton, model.width, rows, active)[place])])
+        sums = np.concatenate([[0], np.cumsum(_phrases(automaton, model.width, rows, lengths[order], before)[place])])
         phrases[:, k] = sums[first[1:]] - sums[first[:-1]]
     return phrases, letters
 

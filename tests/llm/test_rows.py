@@ -193,6 +193,30 @@ def test_cross_parsing_counts_longest_matches():
     assert letters.tolist() == [11, 0, 0]
 
 
+def test_whole_texts_are_parsed():
+    """Phrases go on across stretches: counts are those of one pass over the whole text."""
+    draw = random.Random(6)
+    for letters in ("ab", "abcdefg"):
+        samples = {name: ["".join(draw.choices(letters, k=900))] for name in ("x", "y")}
+        samples["z"] = [letters * 400]  # very long matches
+        sizes = (1, langid.STRETCH - 1, langid.STRETCH, langid.STRETCH + 1, 6000)
+        texts = ["".join(draw.choices(letters + other, k=k)) for k in sizes for other in ("", "q")]
+        texts += [letters * 500, samples["x"][0] * 3]
+        model = langid.build(samples)
+        phrases, _ = langid.parse(model, texts)
+        for text, found in zip(texts, phrases.tolist()):
+            for name, count in zip(model.languages, found):
+                sample, at, plain = samples[name][0], 0, 0
+                while at < len(text):
+                    size = 1
+                    while at + size <= len(text) and text[at : at + size] in sample:
+                        size += 1
+                    unknown = text[at] not in sample
+                    at += max(1, size - 1)
+                    plain += unknown or at < len(text)
+                assert count == plain
+
+
 #: Code points of the letters of ten scripts.
 SCRIPTS = {
     "ar": [(0x627, 0x63B), (0x641, 0x64B)], "el": [(0x3B1, 0x3CA)], "en": [(0x61, 0x7B)], "he": [(0x5D0, 0x5EB)], "hi": [(0x905, 0x93A)],
