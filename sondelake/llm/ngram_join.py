@@ -232,6 +232,7 @@ def _links(docs: DataFrame, sizes: DataFrame, prefixes: DataFrame, width: int, p
     fits = _can_link(F.col("p.n"), F.col("p.place"), F.col("q.n"), F.col("q.place"), percent)
     crossing = outside.join(everyone, (F.col("p.shingle") == F.col("q.shingle")) & apart & fits)
     pairs = crossing.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct()
+    pairs = pairs.join(to_hub, ["a", "b"], "left_anti")  # verified with a hub, in another group
     pairs = write_scratch(_suffix_filter(pairs, sizes, percent), "pairs")
     return links.union(_verified(pairs, docs, width, percent))
 
