@@ -64,7 +64,7 @@ def blocks(texts: pa.Array, width: int) -> tuple[np.ndarray, ...]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows are known by id and text, as ids may repeat."""
-    return docs.select("doc_id", "text", F.coalesce(F.crc32("text"), F.lit(0)).alias("text_key"))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
 
 
 def _indexed(docs: DataFrame, width: int) -> DataFrame:
@@ -211,7 +211,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     docs = _keyed(docs)
     found = _duplicates(docs, width)
     per_doc = write_scratch(
-        found.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n", "offsets")).alias("pieces")),
+        # A set: rows that repeat an id and a text bring the same pieces.
+        found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n", "offsets")).alias("pieces")),
         "per-document",
     )
     wanted = members.bitmap(per_doc, "doc_id", "text_key")

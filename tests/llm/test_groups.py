@@ -110,6 +110,14 @@ def test_substring_dedup(spark, width):
     assert sorted(map(tuple, found), key=str) == plain_repeats(rows, width)
 
 
+def test_substring_dedup_of_many_repeats(spark):
+    """Rows that repeat an id and a text bring their pieces once, not once each."""
+    shared = " ".join(f"s{k}" for k in range(90))
+    rows = [(1, shared, "s", 1)] + [(2, f"{shared} own", "s", 1)] * 3000 + [(2, f"other {shared}", "s", 1)]
+    found = substring.remove_repeats(frame(spark, rows)).collect()
+    assert sorted(map(tuple, found), key=str) == plain_repeats(rows, 50)
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring.remove_repeats(frame(spark, [])).collect() == []
 
