@@ -35,6 +35,8 @@ UNITS = 64
 SHORT_UNITS = 4
 #: Documents in a pattern, and parts that it may leave free.
 MOST_DOCUMENTS, MOST_FREE = 4, 3
+#: Parts of a sequence that a fitted one may leave free, tried in turn; the plan with the fewest sequences is taken.
+LEFT_FREE = (1, 64, 256, 4096)
 #: Pieces whose ids a worker remembers before it begins anew.
 REMEMBERED = 800_000
 #: Longer pieces are not remembered.
@@ -347,8 +349,17 @@ class Plan:
 
 def plan(histogram: np.ndarray, limit: int = LIMIT) -> Plan:
     """The plan for ``histogram[length]`` pieces of each length up to ``limit``."""
-    stock = np.array(histogram, dtype=np.int64)
-    bundles = _best_fit(stock, _from_patterns(stock, limit), limit)
+    fitted = _from_patterns(np.array(histogram, dtype=np.int64), limit)
+    packings = []
+    for free in (limit // part for part in LEFT_FREE):
+        # Fitted sequences that leave more than this free go back to the residuals.
+        kept = [bundle for bundle in fitted if bundle.space <= free]
+        stock = np.array(histogram, dtype=np.int64)
+        for bundle in kept:
+            for length, n in bundle.copies.items():
+                stock[length] -= n * bundle.repeats
+        packings.append(_best_fit(stock, kept, limit))
+    bundles = min(packings, key=lambda found: sum(bundle.repeats for bundle in found))
     met = np.zeros(limit + 1, dtype=np.int64)
     entries, sequence = [], 0
     for bundle in bundles:
