@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ CHARS_PER_ROW = 2048
 SAMPLE_SYMBOLS = 16384
 #: Texts are parsed in stretches of this many symbols side by side; phrases go on from one to the next.
 STRETCH = 512
+#: Bytes of texts parsed together; the more stretches there are, the less a step costs each.
+TOGETHER = 3 << 20
 
 SCHEMA = "doc_id long, lang_pred string, score double, n_letters long, bits double"
 
@@ -314,9 +317,23 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.n
     return named, np.where(letters > 0, score, 0.0), letters, least / np.maximum(letters, 1)
 
 
+def _side_by_side(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about `TOGETHER` bytes of text; a longer text comes alone."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in words.text_chunks(batches):
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if size >= TOGETHER:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _batches(shared: Broadcast, docs: DataFrame) -> DataFrame:
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.text_chunks(batches):
+        for batch in _side_by_side(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             named, score, letters, bits = predict(shared.value, texts)
             yield pa.RecordBatch.from_arrays(
@@ -350,7 +367,7 @@ def with_language(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.text_chunks(batches):
+        for batch in _side_by_side(batches):
             named, _, letters, _ = predict(model.value, [text or "" for text in batch.column("text").to_pylist()])
             keep = [name != "und" for name in named] if model.value.languages else letters > 0
             yield batch.filter(pa.array(keep, pa.bool_()))
