@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sondelake.operators.joins import is_empty_or_small, join_checked
@@ -12,6 +14,9 @@ from sondelake.operators.scratch import write_scratch
 #: Claims of a component of files that one task walks; a claim is a uid and a file name.
 SETTLED_CLAIMS = 200_000
 
+#: Rows of a line's width that one task sorts: about a hundred megabytes, so that it need not spill.
+SORTED_ROWS = 500_000
+
 # monotonically_increasing_id() keeps the partition above this many bits of row number.
 _ROW_BITS = 33
 
@@ -174,17 +179,37 @@ def files_with_conflicts(
     return refused
 
 
+def sort_tasks(spark: SparkSession, n_rows: int) -> list[int]:
+    """The number of partitions to ask for when ``n_rows`` are sorted; none, for the session's, if one would do.
+
+    The session's number is fixed, and adaptive execution merges partitions by their packed size: with
+    many rows either way a task would spill.
+    """
+    wanted = -(-n_rows // SORTED_ROWS)
+    return [max(wanted, spark.sparkContext.defaultParallelism)] if wanted > 1 else []
+
+
 def serial_ids(
-    rows: DataFrame, order: list[str | Column], *, base: int = 0, name: str = "header_id"
+    rows: DataFrame,
+    order: list[str | Column],
+    *,
+    base: int = 0,
+    name: str = "header_id",
+    keep: Sequence[str] | None = None,
+    n_rows: int = 0,
 ) -> DataFrame:
     """Number rows ``base+1, base+2, ...`` in the given total order.
 
     Rows are range-partitioned and sorted within partitions, written once, and each partition
     is offset by the sizes of those before it. The only single-task step sees one row per
     partition. The result stays in id order, so range filters on the id skip row groups.
+
+    Columns outside ``keep``, if given, only order the rows. Callers with many rows tell their number
+    ``n_rows``, so that no task sorts more than it can hold.
     """
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = write_scratch(ordered.withColumn("_place", F.monotonically_increasing_id()), "serial")
+    kept = rows.columns if keep is None else list(keep)
+    ordered = rows.repartitionByRange(*sort_tasks(rows.sparkSession, n_rows), *order).sortWithinPartitions(*order)
+    placed = write_scratch(ordered.select(*kept, F.monotonically_increasing_id().alias("_place")), "serial")
     part = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
@@ -195,5 +220,5 @@ def serial_ids(
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select((F.lit(base + 1) + F.col("_offset") + row).cast("long").alias(name), *rows.columns)
+        .select((F.lit(base + 1) + F.col("_offset") + row).cast("long").alias(name), *kept)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sondelake.functions.fixedwidth import decode
 from sondelake.functions.layout import HEADER_LAYOUT, LEVEL_LAYOUT
-from sondelake.operators.keys import serial_ids
+from sondelake.operators.keys import serial_ids, sort_tasks
 from sondelake.operators.scratch import scratch_path
 
 LEVELS_PER_SOUNDING = 40
@@ -118,13 +118,14 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem lines with their number n in table order and their sounding b."""
 
     def make() -> DataFrame:
-        lines = table(spark, sf_dir, "lineitem").select(
+        source = table(spark, sf_dir, "lineitem")
+        lines = source.select(
             "l_orderkey", "l_linenumber", F.expr(RAW_LEVEL.format(S="string")).alias("line")
         )
         # Equal lines may come in any order; the last column lets a hot value be split.
         tied = lines.withColumn("tie", F.monotonically_increasing_id())
         order = ["l_orderkey", "l_linenumber", "line", "tie"]
-        numbered = serial_ids(tied, order, base=-1, name="n")
+        numbered = serial_ids(tied, order, base=-1, name="n", keep=["line"], n_rows=source.count())
         return numbered.select("n", F.expr(f"n div {LEVELS_PER_SOUNDING}").alias("b"), "line")
 
     return once(spark, sf_dir, "numbered", make=make)
@@ -133,9 +134,10 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sounding_lines(spark: SparkSession, sf_dir: str, *, messy: bool) -> DataFrame:
     """(b, i, value): text lines of all soundings, the header of each first."""
     lines = numbered_lines(spark, sf_dir)
+    # Numbers have no gaps, so every sounding is full but the last.
     headers = (
-        lines.groupBy("b")
-        .agg(F.count("*").alias("levels"))
+        lines.where(F.col("n") % LEVELS_PER_SOUNDING == 0)
+        .select("b", F.least(F.lit(LEVELS_PER_SOUNDING), F.lit(lines.count()) - F.col("n")).alias("levels"))
         .withColumn("k", F.expr(MESSY_KEY if messy else "b"))
         .withColumn("declared", F.expr(MESSY_DECLARED if messy else "levels"))
         .withColumn("header", F.expr(SOUNDING_HEADER.format(S="string")))
@@ -170,7 +172,8 @@ def sounding_records(spark: SparkSession, sf_dir: str, per_file: int) -> DataFra
 
 def write_soundings(lines: DataFrame, folder: str) -> None:
     """Append text files; file names and lines in files follow the sounding number."""
-    ordered = lines.repartitionByRange("b").sortWithinPartitions("b", "i")
+    tasks = sort_tasks(lines.sparkSession, lines.count())
+    ordered = lines.repartitionByRange(*tasks, "b").sortWithinPartitions("b", "i")
     ordered.select("value").write.mode("append").text(folder)
 
 
