@@ -58,3 +58,17 @@ def test_numbers_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
     want = sorted(range(100), key=lambda v: (v % 13, v))
     assert [r.v for r in got.orderBy("n").collect()] == want
     assert got.rdd.getNumPartitions() > 0 and keys.sort_tasks(spark, 100) == [15] and keys.sort_tasks(spark, 7) == []
+
+
+def test_records_are_moved_once_and_only_those_asked_for(spark, tables):
+    records = inputs.sounding_records(spark, tables, 2)
+    part = records.where(F.expr("cast(substr(file, 2, 8) as int) % 2 = 1"))
+    moved = _exchanges(part)
+    assert len(moved) == 1 and "file" in moved[0]
+    plan = part._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {word: max(i for i, line in enumerate(plan) if word in line) for word in ("RepartitionByExpression", "% 2")}
+    assert depth["% 2"] > depth["RepartitionByExpression"]
+    got = {(r.file, r.block_start): r.value for r in records.collect()}
+    assert set(got) == {(f"f{f:08d}.txt", k) for f in (0, 1) for k in (0, 1)}
+    assert [k for k in sorted(got) if got[k].endswith("\n")] == [("f00000000.txt", 1), ("f00000001.txt", 1)]
+    assert [got[k].startswith("#") for k in sorted(got)] == [True, False, True, False]

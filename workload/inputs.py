@@ -6,7 +6,7 @@ hold all lineitem rows in groups of up to 40 levels.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondelake.functions.fixedwidth import decode
@@ -154,17 +154,17 @@ def sounding_lines(spark: SparkSession, sf_dir: str, *, messy: bool) -> DataFram
 def sounding_records(spark: SparkSession, sf_dir: str, per_file: int) -> DataFrame:
     """All messy soundings as the text scan gives them (file, block_start, value), in files of
     ``per_file`` soundings whose names follow the sounding number."""
-    texts = sounding_lines(spark, sf_dir, messy=True).groupBy("b").agg(
+    n_lines = numbered_lines(spark, sf_dir).count()
+    lines = sounding_lines(spark, sf_dir, messy=True).withColumn(
+        "file", F.expr(f"concat('f', lpad(cast(b div {per_file} as string), 8, '0'), '.txt')")
+    )
+    # Brought together once, by file; the grouping by sounding stays where its lines are.
+    texts = lines.repartition(*sort_tasks(spark, n_lines), "file").groupBy("file", "b").agg(
         # A sounding has at most `LEVELS_PER_SOUNDING` lines besides its header.
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda r: r["value"]), "\n").alias("text")
     )
-    named = texts.withColumns(
-        {
-            "file": F.expr(f"concat('f', lpad(cast(b div {per_file} as string), 8, '0'), '.txt')"),
-            "block_start": F.expr(f"b % {per_file}"),
-        }
-    )
-    is_last = F.col("b") == F.max("b").over(Window.partitionBy("file"))
+    named = texts.withColumn("block_start", F.expr(f"b % {per_file}"))
+    is_last = (F.col("block_start") == per_file - 1) | (F.col("b") == (n_lines - 1) // LEVELS_PER_SOUNDING)
     # The separator takes the mark of all records but a file's first; a file ends with a line break.
     value = F.when(F.col("block_start") == 0, F.col("text")).otherwise(F.expr("substr(text, 2)"))
     return named.select("file", "block_start", F.concat(value, F.when(is_last, "\n").otherwise("")).alias("value"))
