@@ -60,6 +60,13 @@ def test_numbers_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
     assert got.rdd.getNumPartitions() > 0 and keys.sort_tasks(spark, 100) == [15] and keys.sort_tasks(spark, 7) == []
 
 
+def test_halves_are_not_written_before_their_files(spark, tables):
+    before = _scratch(spark, "lines")
+    halves = queries._halves(spark, tables)
+    assert _scratch(spark, "lines") == before
+    assert [sorted({r.b for r in half.collect()}) for half in halves] == [[0, 1], [2, 3]]
+
+
 def test_records_are_moved_once_and_only_those_asked_for(spark, tables):
     records = inputs.sounding_records(spark, tables, 2)
     part = records.where(F.expr("cast(substr(file, 2, 8) as int) % 2 = 1"))

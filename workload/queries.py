@@ -569,8 +569,8 @@ def control_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Lines of the first and of the second half of all messy soundings."""
-    lines = write_scratch(inputs.sounding_lines(spark, sf_dir, messy=True), "lines")
-    middle = lines.agg(F.max("b")).head()[0] // 2
+    lines = inputs.sounding_lines(spark, sf_dir, messy=True)
+    middle = inputs.numbered_lines(spark, sf_dir).agg(F.max("b")).head()[0] // 2
     return [lines.where(F.col("b") <= middle), lines.where(F.col("b") > middle)]
 
 
