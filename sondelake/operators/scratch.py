@@ -39,11 +39,12 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the files.
 
     This cuts the lineage, survives lost executors, and pins generated ids, which a second
-    evaluation of the same plan would not be bound to repeat.
+    evaluation of the same plan would not be bound to repeat. Scratch tables hold most of what a run
+    writes, so they are packed tighter than the session's tables.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -79,3 +79,8 @@ def test_records_are_moved_once_and_only_those_asked_for(spark, tables):
     assert set(got) == {(f"f{f:08d}.txt", k) for f in (0, 1) for k in (0, 1)}
     assert [k for k in sorted(got) if got[k].endswith("\n")] == [("f00000000.txt", 1), ("f00000001.txt", 1)]
     assert [got[k].startswith("#") for k in sorted(got)] == [True, False, True, False]
+
+
+def test_scratch_tables_are_packed(spark):
+    path = write_scratch(spark.range(10), "packed").inputFiles()
+    assert all(".zstd." in name for name in path)
