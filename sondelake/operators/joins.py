@@ -57,6 +57,9 @@ def join_checked(
     broadcast. With more, a broadcast bitmap tells the rows of ``big`` that cannot match: they
     stay where they are, and only the others are shuffled. Adaptive execution splits a hot key
     of ``big`` in all four kinds of join.
+
+    More than ``limit`` rows are never broadcast, whatever Spark makes of the size of their files: packed
+    ids take two bytes there and a hundred in the driver.
     """
     empty, fits = is_empty_or_small(small, limit)
     if empty and how == "left_anti":
@@ -64,7 +67,7 @@ def join_checked(
     if fits:
         return big.join(F.broadcast(small), on, how)
     marked = _marked(big, small, on)
-    joined = marked.where(_HIT).drop(_HIT).join(small, on, how)
+    joined = marked.where(_HIT).drop(_HIT).join(small.hint("merge"), on, how)
     if how in ("inner", "left_semi"):
         return joined
     kept = marked.where(~F.col(_HIT)).drop(_HIT)

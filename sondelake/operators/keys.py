@@ -53,10 +53,10 @@ def uids_taken(uids: DataFrame, existing: DataFrame) -> DataFrame:
     """(uid) of those in ``uids`` (a written table, each uid once) that ``existing`` holds.
 
     A load is usually small next to the tables it joins: its uids are then broadcast, and the
-    existing ones are only read.
+    existing ones are only read. Those of a large one are not, however well their files are packed.
     """
     _, fits = is_empty_or_small(uids)
-    wanted = F.broadcast(uids.select("uid")) if fits else uids.select("uid")
+    wanted = uids.select("uid").hint("broadcast" if fits else "merge")
     return existing.select("uid").join(wanted, "uid", "left_semi")
 
 
@@ -70,13 +70,14 @@ def first_per_uid(keys: DataFrame, existing: DataFrame | None = None) -> DataFra
     if existing is not None:
         firsts = write_scratch(firsts, "firsts")
         # Both sides hold a uid once, so no key of this join is hot.
-        firsts = firsts.join(uids_taken(firsts, existing), "uid", "left_anti")
+        firsts = join_checked(firsts, write_scratch(uids_taken(firsts, existing), "taken"), "uid", "left_anti")
     return firsts.select(F.col("first.seq").alias("seq"))
 
 
 def duplicates(keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """(seq) of all rows that do not keep their uid."""
-    return keys.select("seq").join(first_per_uid(keys, existing), "seq", "left_anti")
+    # There are about as many firsts as rows: none of them go through the driver.
+    return keys.select("seq").join(first_per_uid(keys, existing).hint("merge"), "seq", "left_anti")
 
 
 def _components(claims: DataFrame) -> DataFrame:

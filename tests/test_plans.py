@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from sondelake.functions.layout import HEADER_LAYOUT
-from sondelake.operators import joins
+from sondelake.operators import joins, keys
 from sondelake.operators.decode import decode_levels, level_lines
 from sondelake.operators.extract import extract, with_band
 from sondelake.operators.joins import join_checked
@@ -122,6 +122,30 @@ def test_checked_join_gives_one_result_whatever_its_strategy(spark, monkeypatch)
     assert "Broadcast" in plan(join_checked(big, small, "k", "inner"))
 
 
+def test_no_more_rows_than_the_limit_are_broadcast_however_well_they_are_packed(spark, monkeypatch):
+    # Spark takes both tables for small ones: they are far below its own threshold.
+    big = write_scratch(spark.range(1000).selectExpr("id AS k", "id % 2 AS b"), "big")
+    small = write_scratch(spark.range(0, 1000, 7).selectExpr("id AS k", "'duplicate' AS reason"), "small")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        joined = join_checked(big, small, "k", how, limit=3)
+        planned = plan(joined)
+        assert joined.count() == {"left": 1000, "left_anti": 857}.get(how, 143)
+        joined.collect()
+        for text in (planned, plan(joined)):
+            assert "SortMergeJoin [k#" in text and "BroadcastHashJoin [k#" not in text
+
+    monkeypatch.setattr(joins.is_empty_or_small, "__defaults__", (3,))
+    monkeypatch.setitem(joins.join_checked.__kwdefaults__, "limit", 3)
+    rows = spark.range(1000).selectExpr("cast(id % 400 as string) AS uid", "'f' AS file", "0L AS block_start", "id AS seq")
+    rows = write_scratch(rows, "keys")
+    existing = write_scratch(spark.range(0, 100).selectExpr("cast(id as string) AS uid"), "existing")
+    for found, n in ((keys.uids_taken(existing, rows), 300), (keys.duplicates(rows), 600), (keys.duplicates(rows, existing), 700)):
+        planned = plan(found)
+        assert len(found.collect()) == n
+        for text in (planned, plan(found)):
+            assert not re.search(r"BroadcastHashJoin \[(uid|seq)#", text)
+
+
 def test_large_exclusion_moves_only_rows_that_may_match(spark):
     big = write_scratch(spark.range(4000).selectExpr("id AS k", "repeat('text ', 20) AS body"), "big")
     small = write_scratch(spark.range(0, 400, 10).selectExpr("id AS k"), "small")
